@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import mixing, sharding
+from reviewlake.llm import mixing, packing, sharding
 
 
 def queries() -> dict:
     return {
         "op4_mix_sources": mixing.op4_mix_sources,
+        "op5_vector_packing": packing.op5_vector_packing,
         "op9_jump_shards": sharding.op9_jump_shards,
     }
 
