@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import mixing, packing, sharding
+from reviewlake.llm import mixing, packing, sharding, token_counts
 
 
 def queries() -> dict:
     return {
+        "op2_token_counts": token_counts.op2_token_counts,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_vector_packing": packing.op5_vector_packing,
         "op9_jump_shards": sharding.op9_jump_shards,

@@ -28,10 +28,13 @@ def default_path() -> str:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """With `plain_specials`, the strings of special tokens in a text are ordinary text."""
+
+    def __init__(self, path: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_specials
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -56,10 +59,10 @@ class Encoder:
         return np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.uint32)
 
 
-def worker_encoder(path: str) -> Encoder:
+def worker_encoder(path: str, plain_specials: bool = False) -> Encoder:
     """The worker process's encoder, kept from one task to the next."""
     kept = sys.__dict__.setdefault("_kept_encoders", {})
-    if path not in kept:
+    if (path, plain_specials) not in kept:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        kept[path] = Encoder(path)
-    return kept[path]
+        kept[path, plain_specials] = Encoder(path, plain_specials)
+    return kept[path, plain_specials]
