@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import mixing, packing, sharding, token_counts
+from reviewlake.llm import language_id, mixing, packing, quality, sharding, token_counts
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op2_token_counts": token_counts.op2_token_counts,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_vector_packing": packing.op5_vector_packing,
+        "op6_hyperdimensional_lang": language_id.op6_hyperdimensional_lang,
+        "op7_additive_quality": quality.op7_additive_quality,
         "op9_jump_shards": sharding.op9_jump_shards,
     }
 
