@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import language_id, mixing, packing, quality, sharding, token_counts
+from reviewlake.llm import html_extract, language_id, mixing, packing, quality, sharding, token_counts
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op5_vector_packing": packing.op5_vector_packing,
         "op6_hyperdimensional_lang": language_id.op6_hyperdimensional_lang,
         "op7_additive_quality": quality.op7_additive_quality,
+        "op8_consensus_paths": html_extract.op8_consensus_paths,
         "op9_jump_shards": sharding.op9_jump_shards,
     }
 
