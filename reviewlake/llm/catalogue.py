@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import html_extract, language_id, mixing, packing, quality, sharding, token_counts
+from reviewlake.llm import html_extract, language_id, mixing, ngram_join, packing, quality, sharding, token_counts
 
 
 def queries() -> dict:
     return {
         "op2_token_counts": token_counts.op2_token_counts,
+        "op3_ngram_jaccard": ngram_join.op3_ngram_jaccard,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_vector_packing": packing.op5_vector_packing,
         "op6_hyperdimensional_lang": language_id.op6_hyperdimensional_lang,
