@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import html_extract, language_id, mixing, ngram_join, packing, quality, sharding, token_counts
+from reviewlake.llm import html_extract, language_id, mixing, multi_index, ngram_join, packing, quality, sharding, token_counts
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_hyperdimensional_lang": language_id.op6_hyperdimensional_lang,
         "op7_additive_quality": quality.op7_additive_quality,
         "op8_consensus_paths": html_extract.op8_consensus_paths,
+        "op10_multi_index": multi_index.op10_multi_index,
         "op9_jump_shards": sharding.op9_jump_shards,
     }
 
