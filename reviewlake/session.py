@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,3 +47,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files and checkpoints that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
