@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.arrow_text import WordHasher, shingles, text_blocks
 from reviewlake.operators.graph import connected_components
-from reviewlake.session import checkpointed
+from reviewlake.session import checkpointed, release
 
 #: Cells of the frequency table; it is the same size for any input.
 CELLS = 1 << 20
 #: n-grams counted together by a task.
 COUNTED = 1 << 22
 #: Lists of up to so many classes give all their pairs at once.
-SHORT = 16
+SHORT = 3
 #: Marks of the documents in pairs.
 MARKS = 1 << 24
 #: Parts of the order in which the suffix filter counts a set's members.
@@ -136,15 +136,24 @@ def _apart(a: Column, b: Column) -> Column:
     return total
 
 
+def _need(x: str, y: str, percent: int) -> Column:
+    """The least number of shared members with which sets x and y link."""
+    return F.expr(f"(({x}.n + {y}.n) * {percent} + {99 + percent}) div {100 + percent}")
+
+
 def _may_link(x: str, y: str, percent: int) -> Column:
-    """Length, positional and suffix filters for entries x and y of one n-gram; nothing that links is turned away."""
+    """Length and positional filters for entries x and y of one n-gram; nothing that links is turned away."""
     nx, ny, px, py = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
-    need = F.expr(f"(({x}.n + {y}.n) * {percent} + {99 + percent}) div {100 + percent}")
     length = (F.least(nx, ny) * 100) >= F.greatest(nx, ny) * percent
     # At most `least(pos)` members before this one are shared, and no more behind it than the shorter rest.
-    positional = F.least(px, py) + F.least(nx - px, ny - py) >= need
-    suffix = _apart(F.col(f"{x}.parts"), F.col(f"{y}.parts")) <= nx + ny - 2 * need
-    return length & positional & suffix
+    return length & (F.least(px, py) + F.least(nx - px, ny - py) >= _need(x, y, percent))
+
+
+def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose counts by parts leave room for a link."""
+    side = classes.select("id", "n", "parts")
+    both = pairs.join(side.alias("x"), F.col("a") == F.col("x.id")).join(side.alias("y"), F.col("b") == F.col("y.id"))
+    return both.filter(_apart(F.col("x.parts"), F.col("y.parts")) <= F.col("x.n") + F.col("y.n") - 2 * _need("x", "y", percent)).select("a", "b")
 
 
 def _marked_ids(wanted: DataFrame) -> np.ndarray:
@@ -176,11 +185,13 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int, key: st
             for first, n_rows, at, found in _sets(some.column(1), hasher, width):
                 n = np.bincount(at, minlength=n_rows)
                 ends = np.cumsum(n)
-                members = [found[e - m : e].tobytes() for m, e in zip(n, ends, strict=True)]
+                # 48 bits of a hash tell the members of two sets apart.
+                short = np.ascontiguousarray(found.view(np.uint8).reshape(-1, 8)[:, 2:])
+                members = [short[e - m : e].tobytes() for m, e in zip(n, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([some.column(0).slice(first, n_rows), pa.array(members, pa.binary())], names=["doc_id", "members"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), cell.alias("cell"))
-    found = checkpointed(rows.mapInArrow(sets, "doc_id long, members binary").join(wanted, F.col("doc_id") == F.col("w"), "left_semi"))
+    found = checkpointed(rows.mapInArrow(sets, "doc_id long, members binary"))
     both = (
         pairs.join(found.select(F.col("doc_id").alias("a"), F.col("members").alias("ma")), "a")
         .select("a", "b", "ma")
@@ -190,10 +201,16 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int, key: st
     def judge(batches):
         import pyarrow as pa
 
+        def members_of(value):
+            short = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, 6)
+            out = np.zeros((len(short), 8), np.uint8)
+            out[:, :6] = short
+            return out.view(np.uint64).ravel()
+
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                p, q = members_of(x), members_of(y)
                 shared = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
                 good.append(100 * shared >= percent * (len(p) + len(q) - shared))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
@@ -214,23 +231,40 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
     texts = docs.filter(F.col(key).isNotNull())
     ranks = spark.sparkContext.broadcast(frequency_ranks(docs, width, text))
     all_docs = checkpointed(profiles(docs, width, percent, ranks, key, text))
+    filled = all_docs.filter("n > 0 and doc_id is not null")
+    classes = checkpointed(filled.groupBy("n", "sig").agg(F.min("doc_id").alias("id"), F.first("parts").alias("parts"), F.first("prefix").alias("prefix")))
+    all_docs = checkpointed(all_docs.select("doc_id", "n", "sig"))
     usable = all_docs.filter("n > 0 and doc_id is not null")
-    classes = checkpointed(usable.groupBy("n", "sig").agg(F.min("doc_id").alias("id"), F.first("parts").alias("parts"), F.first("prefix").alias("prefix")))
-    entries = classes.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = entries.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1")
-    lists = entries.join(shared, "token").join(classes.select("id", "parts"), "id")
-    lists = checkpointed(lists.select("token", "m", "id", F.col("n"), F.col("pos"), "parts"))
+    del filled
+    release(spark)
+    entries = classes.select("id", F.col("n").cast("int"), F.posexplode("prefix").alias("pos", "token"))
+    # Half of a token is enough to leave out those that no other class has; a chance meeting only lets an entry stay.
+    half = F.shiftright("token", 32).cast("int")
+    shared = entries.groupBy(half.alias("half")).agg(F.count("*").alias("m")).filter("m > 1").select("half")
+    lists = checkpointed(entries.join(shared, half == F.col("half"), "left_semi").select("token", "id", "n", "pos"))
+    sizes = classes.select("id", "n", "parts")
+    sizes = checkpointed(sizes)
+    classes = checkpointed(classes.select("n", "sig", "id"))
+    del entries, shared
+    release(spark)
 
     def pairs_of(x: DataFrame, y: DataFrame, more: Column) -> DataFrame:
         on = (F.col("x.token") == F.col("y.token")) & more & _may_link("x", "y", percent)
         both = x.alias("x").join(y.alias("y"), on)
         return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
-    brief, long = lists.filter(F.col("m") <= short), lists.filter(F.col("m") > short)
-    heads = long.groupBy("token").agg(F.min(F.struct("n", "id", "pos", "parts")).alias("h")).select("token", "h.*")
-    first = pairs_of(brief, brief, F.col("x.id") < F.col("y.id")).unionByName(pairs_of(long, heads, F.col("x.id") != F.col("y.id")))
-    tried = checkpointed(first.distinct())
+    tokens = lists.groupBy("token").agg(F.count("*").alias("m"), F.min(F.struct("n", "id", "pos")).alias("h")).filter("m > 1")
+    lists = checkpointed(lists.join(tokens, "token").select("token", "m", "id", "n", "pos", "h"))
+    brief, long = lists.filter(F.col("m") <= short).drop("h"), lists.filter(F.col("m") > short)
+    met = long.alias("x").withColumn("y", F.col("h")).filter((F.col("x.id") != F.col("y.id")) & _may_link("x", "y", percent))
+    met = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    long = long.drop("h")
+    first = pairs_of(brief, brief, F.col("x.id") < F.col("y.id")).unionByName(met)
+    tried = checkpointed(_suffix_filter(first.distinct(), sizes, percent))
+    del tokens, first, met, brief
+    release(spark)
     links = checkpointed(_verify(tried, texts, width, percent, key, text).distinct())
+    release(spark)
     # Rows of one doc_id with different texts belong to several classes, which are then one document.
     own = usable.select("doc_id", "n", "sig").distinct().join(classes.select("n", "sig", "id"), ["n", "sig"]).select("doc_id", "id")
     own = checkpointed(own.groupBy("doc_id").agg(F.min("id").alias("id"), F.max("id").alias("other"), F.collect_set("id").alias("ids")))
@@ -244,7 +278,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
         top = by.groupBy("token").agg(F.max_by("c", F.struct("k", -F.col("c"))).alias("top"), F.count("*").alias("cs")).filter("cs > 1")
         marked = checkpointed(at.join(top, "token").withColumn("stray", F.col("c") != F.col("top")))
         apart = (F.col("x.c") != F.col("y.c")) & (~F.col("y.stray") | (F.col("x.id") < F.col("y.id")))
-        again = checkpointed(pairs_of(marked.filter("stray"), marked, apart).distinct().join(tried, ["a", "b"], "left_anti"))
+        again = pairs_of(marked.filter("stray"), marked, apart).distinct().join(tried, ["a", "b"], "left_anti")
+        again = checkpointed(_suffix_filter(again, sizes, percent))
         if again.isEmpty():
             break
         links = checkpointed(links.unionByName(_verify(again, texts, width, percent, key, text).distinct()))
