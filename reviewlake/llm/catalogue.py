@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import html_extract, language_id, mixing, multi_index, ngram_join, packing, quality, sharding, token_counts
+from reviewlake.llm import forest_search, html_extract, language_id, mixing, multi_index, ngram_join, packing, quality, sharding, token_counts
 
 
 def queries() -> dict:
     return {
+        "op1_projection_forest": forest_search.op1_projection_forest,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_ngram_jaccard": ngram_join.op3_ngram_jaccard,
         "op4_mix_sources": mixing.op4_mix_sources,
