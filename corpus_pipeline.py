@@ -1,11 +1,80 @@
-"""Corpus pipeline; the stages follow as their operators land."""
+"""Corpus pipeline: quality, language, near duplicates, mixing by source, packing into sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns of
+documents; the last returns the pieces of packed sequences.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reviewlake.llm import language_id, mixing, ngram_join, packing, quality
+from reviewlake.session import delete_path, scratch_path
+
+#: A document is rejected below these scores.
+MIN_QUALITY, MIN_LANGUAGE = 0.3, 0.3
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the additive model, fitted on labelled ones, takes for bad."""
+    model = quality.learn(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.score(docs, model, tuple(docs.columns), threshold=MIN_QUALITY, out=("_score", "_predicted"))
+    return scored.filter("_predicted = 1").select(*docs.columns)
+
+
+def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents without a letter or whose best language hardly stands out."""
+    names, prototypes = language_id.learn(docs)
+    told = language_id.predict(docs, names, prototypes, tuple(docs.columns), out=("_lang", "_score"))
+    return told.filter((F.col("_lang") != "und") & (F.col("_score") >= MIN_LANGUAGE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each group linked by five-word n-grams from a similarity of 0.8 on.
+
+    Of rows that repeat a doc_id one stays. Rows without a doc_id stay.
+    """
+    from reviewlake.session import checkpointed
+
+    groups = checkpointed(ngram_join.jaccard_components(docs.select("doc_id", "text"), 5, 80))
+    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    if groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, twice where it takes them twice."""
+    return mixing.mixed_rows(docs, mixing.words(F.col("text")))
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 4096 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("language ID", language_filter),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", source_mixing),
+    ("packing", sequence_packing),
+]
+
+#: SQL cannot tokenise nor fit the models; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. Each stage's rows are written to the shared folder and read again by the next one."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        path = scratch_path(spark, "stage")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)

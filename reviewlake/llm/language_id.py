@@ -142,13 +142,14 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", dimensions: int
     return [r["lang"] for r in found], np.array([r["v"] for r in found], np.int64).reshape(len(found), dimensions)
 
 
-def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple[str, ...], text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
-    """df[keep] with lang_pred and score.
+def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple[str, ...], text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """df[keep] with the predicted language and its score, named by `out`.
 
     score: the best cosine's part of the sum of all positive ones, from 0 to 1. A text that is null or without a letter,
     or no learned language, gives `und` and 0. Equal cosines give the name that comes first.
     """
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields]
+    at = keep.index(text) if text in keep else len(keep)
     stamp = hash((tuple(names), prototypes.tobytes()))
 
     def run(batches):
@@ -161,7 +162,7 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
         table = kept[stamp]
         for batch in batches:
             best, score = [], []
-            for _, texts in text_runs(batch.column(len(keep)).to_pylist()):
+            for _, texts in text_runs(batch.column(at).to_pylist()):
                 row, ids = trigrams(texts)
                 n = np.bincount(row, minlength=len(texts))
                 if not names:
@@ -178,9 +179,10 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
                 best += [names[k] if m else "und" for k, m in zip(top, n, strict=True)]
                 score += np.where(n > 0, share, 0.0).tolist()
             columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*keep, *out])
 
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    rows = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias("_text"))
+    return rows.mapInArrow(run, ", ".join([*fields, f"`{out[0]}` string", f"`{out[1]}` double"]))
 
 
 def fold(key: Column, n: int) -> Column:

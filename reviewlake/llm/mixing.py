@@ -95,28 +95,50 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return done
 
 
-def mix(df: DataFrame, size: Column, key: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(key, source, *carry, size, source_size, target, taken): how many words of each row the mix takes.
+def _rows(df: DataFrame, size: Column, key: str, source: str) -> DataFrame:
+    return checkpointed(df.select(F.col(key).alias("key"), F.col(source).alias("source"), size.alias("size"), key_hash(F.col(key)).alias("h")))
+
+
+def _plans(rows: DataFrame, cycle: tuple[int, ...], share: float, cap: float) -> DataFrame:
+    """(source, source_size, target, times, threshold): one row a source."""
+    targets = checkpointed(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, share, cap))
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    plans = targets.select("*", times.alias("times"))
+    budgets = plans.filter("source_size > 0").select("source", (F.col("target") - F.col("times") * F.col("source_size")).alias("budget"))
+    ends = thresholds(rows.select("source", "size", "h"), budgets)
+    joined = plans.alias("p").join(ends.alias("e"), F.expr("p.source <=> e.source"), "left")
+    return checkpointed(joined.select("p.*", F.coalesce("e.threshold", F.lit(-1).cast("long")).alias("threshold")))
+
+
+def mix(df: DataFrame, size: Column, key: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """(key, source, size, source_size, target, taken): how many words of each row the mix takes.
 
     A row is taken whole, floor(target / source_size) times, and once more up to the source's threshold, so no row goes
     over its size times the cap rounded up. Nulls in key or source are values of their own; a null or empty text has size
     0 and takes 0; equal keys are taken alike; a source without words has target 0; an empty table gives an empty one.
     """
-    rows = checkpointed(df.select(F.col(key).alias("key"), F.col(source).alias("source"), *carry, size.alias("size"), key_hash(F.col(key)).alias("h")))
-    targets = checkpointed(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, share, cap))
-    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    plans = targets.select("*", times.alias("_times"))
-    budgets = plans.filter("source_size > 0").select("source", (F.col("target") - F.col("_times") * F.col("source_size")).alias("budget"))
-    ends = thresholds(rows.select("source", "size", "h"), budgets)
-    plans = checkpointed(
-        plans.alias("p").join(ends.alias("e"), F.expr("p.source <=> e.source"), "left").select("p.*", F.coalesce("e.threshold", F.lit(-1).cast("long")).alias("_threshold"))
-    )
-    more = F.when(F.col("h") <= F.col("_threshold"), 1).otherwise(0).cast("long")
+    rows = _rows(df, size, key, source)
+    plans = _plans(rows, cycle, share, cap)
+    more = F.when(F.col("h") <= F.col("threshold"), 1).otherwise(0).cast("long")
     return rows.alias("r").join(plans.alias("p"), F.expr("r.source <=> p.source")).select(
-        F.col("key").alias(key), F.col("r.source").alias(source), *[F.col(f"r.{c}") for c in carry], "size", "source_size", "target", (F.col("size") * (F.col("_times") + more)).alias("taken")
+        F.col("key").alias(key), F.col("r.source").alias(source), "size", "source_size", "target", (F.col("size") * (F.col("times") + more)).alias("taken")
     )
 
 
+def mixed_rows(df: DataFrame, size: Column, key: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, broadcast_rows: int = 100_000) -> DataFrame:
+    """The rows of df in the mix, each as often as it is taken; a filter by thresholds, so df itself is not moved.
+
+    The plan, one row a source, is broadcast only if it has at most `broadcast_rows` rows; else both sides are joined.
+    """
+    plans = _plans(_rows(df, size, key, source), cycle, share, cap)
+    side = plans.select(F.col("source").alias("_source"), F.col("times").alias("_times"), F.col("threshold").alias("_threshold"))
+    if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        side = F.broadcast(side)
+    more = F.when(key_hash(df[key]) <= F.col("_threshold"), 1).otherwise(0)
+    copies = F.explode(F.sequence(F.lit(1), (F.col("_times") + more).cast("int")))
+    return df.join(side, df[source].eqNullSafe(F.col("_source"))).filter(F.col("_times") + more > 0).select(*[df[c] for c in df.columns], copies.alias("_copy")).select(*df.columns)
+
+
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 3, 1, 2 over 150 % of all words."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

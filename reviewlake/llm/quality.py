@@ -217,21 +217,24 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     return fit(x, np.array([g[1] for g in got]))
 
 
-def score(df: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """df[keep] with score (0 to 1) and predicted (1 from the threshold on). A null text scores as an empty one."""
+def score(df: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text", threshold: float = 0.3, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """df[keep] with the score (0 to 1) and the prediction (1 from the threshold on), named by `out`. A null text scores as an empty one."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields]
 
+    at = keep.index(text) if text in keep else len(keep)
+
     def run(batches):
         import pyarrow as pa
 
         make = Featurizer()
         for batch in batches:
-            found = [model.score(make.block(d, b)) for _, d, b in text_blocks(batch.column(len(keep)))]
+            found = [model.score(make.block(d, b)) for _, d, b in text_blocks(batch.column(at))]
             s = np.concatenate(found) if found else np.zeros(0)
             columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=[*keep, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=[*keep, *out])
 
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([*fields, "score double", "predicted int"]))
+    rows = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias("_text"))
+    return rows.mapInArrow(run, ", ".join([*fields, f"`{out[0]}` double", f"`{out[1]}` int"]))
 
 
 def op7_additive_quality(spark, sf_dir: str) -> DataFrame:
