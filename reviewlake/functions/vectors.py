@@ -30,7 +30,15 @@ def euclid(a: Column, b: Column) -> Column:
 
 def hash_embed(tokens: Column, dims: int) -> Column:
     """A vector of length 1 from token counts by bucket of the token's MD5; zeros without tokens."""
+    def vector(buckets: Column) -> Column:
+        counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("double"))
+
+        def scaled(c: Column) -> Column:
+            n = F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x))
+            return F.element_at(F.transform(F.array(n), lambda m: F.when(m > 0, F.transform(c, lambda x: x / m)).otherwise(c)), 1)
+
+        return F.element_at(F.transform(F.array(counts), scaled), 1)
+
+    # Arrays of one element bind what would otherwise be worked out again for every component.
     buckets = F.transform(tokens, lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"), F.lit(dims)).cast("int"))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("double"))
-    n = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(n > 0, F.transform(counts, lambda x: x / n)).otherwise(counts)
+    return F.element_at(F.transform(F.array(buckets), vector), 1)
