@@ -6,7 +6,7 @@ tasks count their n-grams, and those met more than once are summed into a fixed
 broadcast; an n-gram's rank is the logarithm of its cell.
 
 Equal sets are one class from the start. Prefix entries of classes meet by n-gram; a short list gives all its pairs that
-pass the filters, a long one at first only pairs with its smallest member. What is linked needs no further pair, since the
+pass the filters, a long one at first only pairs with its head, the member most like all others. What is linked needs no further pair, since the
 result is connected components: later rounds take from the long lists only pairs that are still apart. So a group of many
 near copies costs about one pair a member, and yet no link between different texts is lost. Each pair is verified once, on
 whole sets.
@@ -143,10 +143,10 @@ def _need(x: str, y: str, percent: int) -> Column:
 
 def _may_link(x: str, y: str, percent: int) -> Column:
     """Length and positional filters for entries x and y of one n-gram; nothing that links is turned away."""
-    nx, ny, px, py = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
+    nx, ny, px, py = (F.col(f"{e}.{c}") for c in ("n", "pos") for e in (x, y))
     length = (F.least(nx, ny) * 100) >= F.greatest(nx, ny) * percent
-    # At most `least(pos)` members before this one are shared, and no more behind it than the shorter rest.
-    return length & (F.least(px, py) + F.least(nx - px, ny - py) >= _need(x, y, percent))
+    # Of the first member that two sets share, no more follow than the shorter rest. So a pair that links passes there.
+    return length & (F.least(nx - px, ny - py) >= _need(x, y, percent))
 
 
 def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -253,15 +253,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
         both = x.alias("x").join(y.alias("y"), on)
         return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
-    tokens = lists.groupBy("token").agg(F.count("*").alias("m"), F.min(F.struct("n", "id", "pos")).alias("h")).filter("m > 1")
-    lists = checkpointed(lists.join(tokens, "token").select("token", "m", "id", "n", "pos", "h"))
-    brief, long = lists.filter(F.col("m") <= short).drop("h"), lists.filter(F.col("m") > short)
-    met = long.alias("x").withColumn("y", F.col("h")).filter((F.col("x.id") != F.col("y.id")) & _may_link("x", "y", percent))
-    met = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    long = long.drop("h")
-    first = pairs_of(brief, brief, F.col("x.id") < F.col("y.id")).unionByName(met)
+    met = lists.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1")
+    lists = checkpointed(lists.join(met, "token").select("token", "m", "id", "n", "pos"))
+    brief, long = lists.filter(F.col("m") <= short), lists.filter(F.col("m") > short)
+    # A long list's head is the member with the fewest rarer n-grams, as an original has among its copies.
+    heads = long.groupBy("token").agg(F.min(F.struct("pos", "n", "id")).alias("h")).select("token", "h.*")
+    first = pairs_of(brief, brief, F.col("x.id") < F.col("y.id")).unionByName(pairs_of(long, heads, F.col("x.id") != F.col("y.id")))
     tried = checkpointed(_suffix_filter(first.distinct(), sizes, percent))
-    del tokens, first, met, brief
+    del first, met, brief, heads
     release(spark)
     links = checkpointed(_verify(tried, texts, width, percent, key, text).distinct())
     release(spark)
