@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as T
+from reviewlake.session import checkpointed
 
 
 def dedupe_first(df: DataFrame, by: str, order: str) -> DataFrame:
@@ -17,8 +18,11 @@ def dedupe_first(df: DataFrame, by: str, order: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: str, name: str = "row_no") -> DataFrame:
-    """Gapless numbers from 0 by `order`: ranges are numbered each on its own, and offset by the rows before them."""
-    spread = df.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
+    """Gapless numbers from 0 by `order`: ranges are numbered each on its own, and offset by the rows before them.
+
+    The ranges are drawn from a sample, so they are fixed by a checkpoint before they are used twice.
+    """
+    spread = checkpointed(df.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
     sizes = spread.groupBy("_p").agg(F.count("*").alias("_n"))
     before = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     begins = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_b"))

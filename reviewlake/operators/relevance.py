@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as T
@@ -84,8 +83,3 @@ def alias_first(reps: Column, aliases: Sequence[str]) -> Column:
     """Representatives that name an alias first, otherwise in their order."""
     keyed = F.transform(reps, lambda s, i: F.struct((~T.contains_any(s, aliases)).alias("k"), i.alias("i"), s.alias("s")))
     return F.transform(F.array_sort(keyed), lambda x: x["s"])
-
-
-def sentence_serial(df: DataFrame, order: str, pos: str) -> DataFrame:
-    """Serial numbers from 1 by (order, pos), dropped sentences counted; small tables only need one window."""
-    return df.withColumn("serial", F.row_number().over(W.orderBy(order, pos)))
