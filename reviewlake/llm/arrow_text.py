@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Text handled at once; bounds the memory of the arrays below. One longer text makes a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ from reviewlake.session import checkpointed, release
 #: Cells of the frequency table; it is the same size for any input.
 CELLS = 1 << 20
 #: n-grams counted together by a task.
-COUNTED = 1 << 22
+COUNTED = 1 << 21
 #: Lists of up to so many classes give all their pairs at once.
 SHORT = 3
 #: Marks of the documents in pairs.

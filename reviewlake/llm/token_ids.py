@@ -13,14 +13,21 @@ from array import array
 
 import numpy as np
 
-#: Words remembered by one task.
-KEPT_WORDS = 700_000
-#: Punctuation between a letter and a white space: a piece of its own to the tokenizer, so it can be cut off.
-TAIL = re.compile(r"(?<=[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff])([!-&(-/:-@\[-`{-~]+)(?=[ \n]|$)")
+#: Words that a worker remembers in each of two generations; words that are met again move to the younger one.
+KEPT_WORDS = 100_000
+#: ASCII punctuation, but for the apostrophe, which may begin a piece of its own ('s, 't, ...).
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Within these characters, composing changes nothing and lower-casing goes by single characters.
 BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
 
 
+def byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -35,7 +42,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
+        self.model, self.bytes = self.tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one text as uint32; a null text has none."""
@@ -45,19 +54,38 @@ class Encoder:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         if not BEYOND_LATIN.search(text):
             text = text.lower()
-        text = TAIL.sub(r" \1", text)
         pieces = text.replace("\n", " ").replace("\t", " ").split(" ")
         known = self.known
-        missing = list(set(pieces).difference(known))
+        missing = set(pieces).difference(known)
         if missing:
             if len(known) + len(missing) > KEPT_WORDS:
-                known.clear()
-                known[""] = b""
-                missing = [p for p in set(pieces) if p]
-            for p, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                known[p] = array("I", e.ids).tobytes()
+                self.older, self.known = known, {"": b""}
+                known, missing = self.known, [p for p in set(pieces) if p]
+            older = self.older
+            for p in missing:
+                known[p] = older[p] if p in older else self._piece(p)
         return np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.uint32)
 
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a run without blanks. Letters, and marks behind them, are cut where the tokenizer cuts too."""
+        if piece.isalpha() and piece.islower() and not BEYOND_LATIN.search(piece):
+            return self._letters(piece)
+        stem = piece.rstrip(MARKS)
+        if stem != piece and stem.isalpha() and stem.islower() and not BEYOND_LATIN.search(stem):
+            for part in (stem, piece[len(stem) :]):
+                if part not in self.known:
+                    self.known[part] = self.older.get(part) or (self._letters(part) if part is stem else self._whole(part))
+            return self.known[stem] + self.known[piece[len(stem) :]]
+        return self._whole(piece)
+
+    def _letters(self, word: str) -> bytes:
+        if not word.isascii():
+            word = "".join(map(self.bytes.__getitem__, word.encode()))
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _whole(self, piece: str) -> bytes:
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
 
 def worker_encoder(path: str, plain_specials: bool = False) -> Encoder:
     """The worker process's encoder, kept from one task to the next."""

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 from reviewlake.llm import packing
 from reviewlake.llm.token_ids import Encoder, default_path
 
-ODD = ["", "  ", "a", "Hello, WORLD!! it's 12 don't...x", "á é ΑΣ ΟΔΟΣ. İ ½ é ́x", "x<|endoftext|>y <|ENDOFTEXT|>", "\n\t\x0b\x0c\r a b", "word,| end.\nnext."]
+ODD = ["", "  ", "a", "Hello, WORLD!! it's 12 don't...x", "á é ΑΣ ΟΔΟΣ. İ ½ é ́x", "x<|endoftext|>y <|ENDOFTEXT|>", "\n\t\x0b\x0c\r a b", "word,| end.\nnext.", "don't ça,va naïve! ÀÉ. Straße; ªº µm ﬁx ǆ x_y a-b ,, ...! \xa0nb\xa0."]
 
 
 def test_cached_words_give_the_tokenizers_ids():
