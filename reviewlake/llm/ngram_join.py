@@ -237,11 +237,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
     usable = all_docs.filter("n > 0 and doc_id is not null")
     del filled
     release(spark)
-    entries = classes.select("id", F.col("n").cast("int"), F.posexplode("prefix").alias("pos", "token"))
+    # Size and position share a long: these rows are most of what is sent.
+    entries = classes.select("id", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "id", (F.shiftleft("n", 32) + F.col("pos")).alias("np"))
     # Half of a token is enough to leave out those that no other class has; a chance meeting only lets an entry stay.
     half = F.shiftright("token", 32).cast("int")
     shared = entries.groupBy(half.alias("half")).agg(F.count("*").alias("m")).filter("m > 1").select("half")
-    lists = checkpointed(entries.join(shared, half == F.col("half"), "left_semi").select("token", "id", "n", "pos"))
+    lists = checkpointed(entries.join(shared, half == F.col("half"), "left_semi"))
+    lists = lists.select("token", "id", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0xFFFFFFFF)).alias("pos"))
     sizes = classes.select("id", "n", "parts")
     sizes = checkpointed(sizes)
     classes = checkpointed(classes.select("n", "sig", "id"))
