@@ -20,11 +20,19 @@ def sentence_score(s: Column) -> Column:
 
 def extractive_summary(parts: Column, most: int) -> Column:
     """At most `most` sentences: all in order if they are few, else the best by score, one for each opening of 32 characters."""
-    scored = F.transform(parts, lambda s, i: F.struct((-sentence_score(s)).alias("k"), i.alias("i"), s.alias("s")))
-    ranked = F.transform(F.array_sort(scored), lambda x: x["s"])
-    openings = F.transform(ranked, lambda s: F.substring(s, 1, 32))
-    firsts = F.filter(ranked, lambda s, i: F.array_position(openings, F.substring(s, 1, 32)) == i + 1)
-    return F.when(F.size(parts) <= most, parts).otherwise(F.slice(firsts, 1, most))
+    def best(p: Column) -> Column:
+        scored = F.transform(p, lambda s, i: F.struct((-sentence_score(s)).alias("k"), i.alias("i"), s.alias("s")))
+        return F.transform(F.array_sort(scored), lambda x: x["s"])
+
+    def firsts(ranked: Column) -> Column:
+        def of(openings: Column) -> Column:
+            return F.filter(ranked, lambda s, i: F.array_position(openings, F.substring(s, 1, 32)) == i + 1)
+
+        return once(F.transform(ranked, lambda s: F.substring(s, 1, 32)), of)
+
+    # Arrays of one element bind what would otherwise be worked out again for every sentence.
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
+    return once(parts, lambda p: F.when(F.size(p) <= most, p).otherwise(F.slice(once(best(p), firsts), 1, most)))
 
 
 def summarize_row(title: Column, body: Column, summary: Column, most: int) -> Column:
