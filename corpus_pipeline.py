@@ -14,6 +14,8 @@ from reviewlake.session import delete_path, scratch_path
 
 #: A document is rejected below these scores.
 MIN_QUALITY, MIN_LANGUAGE = 0.3, 0.3
+#: And below these parts of the cosine, and of its lead over the second language, that learning documents typically have.
+MIN_COSINE, MIN_LEAD = 0.25, 0.05
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +26,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents without a letter or whose best language hardly stands out."""
+    """Drops the documents without a letter, in no learned language or whose best language hardly stands out.
+
+    Documents of fewer than language_id.LEAST_TRIGRAMS trigrams are judged by the share of their best language alone.
+    """
     names, prototypes = language_id.learn(docs)
-    told = language_id.predict(docs, names, prototypes, tuple(docs.columns), out=("_lang", "_score"))
-    return told.filter((F.col("_lang") != "und") & (F.col("_score") >= MIN_LANGUAGE)).select(*docs.columns)
+    usual = language_id.typical(docs, names, prototypes)
+    told = language_id.predict(docs, names, prototypes, tuple(docs.columns), out=("_lang", "_score", "_cosine", "_lead", "_n"))
+    near = language_id.stands_out(usual, "_lang", "_cosine", "_lead", "_n", MIN_COSINE, MIN_LEAD)
+    return told.filter((F.col("_lang") != "und") & (F.col("_score") >= MIN_LANGUAGE) & near).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SYMBOLS, DIMENSIONS, SEED = 64, 2048, 20240229
-#: Characters handled at once.
-BLOCK_CHARS = 1 << 19
+#: Characters handled at once, and texts and trigrams whose vectors are.
+BLOCK_CHARS, BLOCK_TEXTS, BLOCK_TRIGRAMS = 1 << 19, 256, 512
+#: Fewer trigrams do not tell how near a text is to a language; a language of fewer documents takes what all have in common.
+LEAST_TRIGRAMS, LEAST_DOCUMENTS = 32, 30
 
 
 def symbol_table(limit: int = 0x30000) -> np.ndarray:
@@ -97,6 +99,27 @@ def dot_table(prototypes: np.ndarray, letters: np.ndarray) -> np.ndarray:
     return out.reshape(SYMBOLS**3, len(units))
 
 
+def own_norms(row: np.ndarray, ids: np.ndarray, n: int, letters: np.ndarray) -> np.ndarray:
+    """The norm of the vector of each of n texts, from the trigrams of `trigrams`; exact, by blocks of bounded size."""
+    twice, once = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
+    out = np.zeros(n)
+    for first in range(0, n, BLOCK_TEXTS):
+        size = min(BLOCK_TEXTS, n - first)
+        lo, hi = np.searchsorted(row, (first, first + size))
+        cells, counts = np.unique(ids[lo:hi] * size + (row[lo:hi] - first), return_counts=True)
+        kind, at = np.divmod(cells, size)
+        found, place = np.unique(kind, return_inverse=True)
+        total = np.zeros((size, letters.shape[1]), np.float32)
+        for a in range(0, len(found), BLOCK_TRIGRAMS):
+            s = found[a : a + BLOCK_TRIGRAMS]
+            i, j = np.searchsorted(place, (a, a + len(s)))
+            many = np.zeros((size, len(s)), np.float32)
+            many[at[i:j], place[i:j] - a] = counts[i:j]
+            total += many @ (twice[s >> 12] * once[(s >> 6) & (SYMBOLS - 1)] * letters[s & (SYMBOLS - 1)]).astype(np.float32)
+        out[first : first + size] = np.sqrt((total.astype(np.float64) ** 2).sum(axis=1))
+    return out
+
+
 def text_runs(texts, limit: int = BLOCK_CHARS):
     """(first row, texts) of runs of rows with about `limit` characters; a longer text comes alone."""
     first, run, size = 0, [], 0
@@ -142,12 +165,14 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", dimensions: int
     return [r["lang"] for r in found], np.array([r["v"] for r in found], np.int64).reshape(len(found), dimensions)
 
 
-def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple[str, ...], text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple[str, ...], text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED, out: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """df[keep] with the predicted language and its score, named by `out`.
 
     score: the best cosine's part of the sum of all positive ones, from 0 to 1. A text that is null or without a letter,
-    or no learned language, gives `und` and 0. Equal cosines give the name that comes first.
+    or no learned language, gives `und` and 0. Equal cosines give the name that comes first. Three more names in `out` add
+    the best cosine itself, own norm included, its lead over the second best and the number of trigrams.
     """
+    near = len(out) > 2
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields]
     at = keep.index(text) if text in keep else len(keep)
     stamp = hash((tuple(names), prototypes.tobytes()))
@@ -159,13 +184,16 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
         if stamp not in kept:
             kept.clear()
             kept[stamp] = dot_table(prototypes, letter_vectors(dimensions, seed))
-        table = kept[stamp]
+        table, letters = kept[stamp], letter_vectors(dimensions, seed)
         for batch in batches:
-            best, score = [], []
+            best, score, cosine, lead, size = [], [], [], [], []
             for _, texts in text_runs(batch.column(at).to_pylist()):
                 row, ids = trigrams(texts)
                 n = np.bincount(row, minlength=len(texts))
+                size += n.tolist()
                 if not names:
+                    cosine += [0.0] * len(texts)
+                    lead += [0.0] * len(texts)
                     best += ["und"] * len(texts)
                     score += [0.0] * len(texts)
                     continue
@@ -178,11 +206,47 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
                 share = np.where(total > 0, positive[np.arange(len(texts)), top] / np.where(total > 0, total, 1), 0.0)
                 best += [names[k] if m else "und" for k, m in zip(top, n, strict=True)]
                 score += np.where(n > 0, share, 0.0).tolist()
-            columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*keep, *out])
+                if near:
+                    norms = own_norms(row, ids, len(texts), letters)
+                    ranked = np.sort(dots / np.where(norms > 0, norms, 1)[:, None], axis=1)
+                    cosine += ranked[:, -1].tolist()
+                    lead += (ranked[:, -1] - (ranked[:, -2] if len(names) > 1 else 0)).tolist()
+            made = [*(batch.column(i) for i in range(len(keep))), pa.array(best, pa.string()), pa.array(score, pa.float64())]
+            if near:
+                made += [pa.array(cosine, pa.float64()), pa.array(lead, pa.float64()), pa.array(size, pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=[*keep, *out])
 
     rows = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(run, ", ".join([*fields, f"`{out[0]}` string", f"`{out[1]}` double"]))
+    return rows.mapInArrow(run, ", ".join([*fields, *(f"`{x}` {t}" for x, t in zip(out, ("string", "double", "double", "double", "long")))]))
+
+
+def typical(df: DataFrame, names: list[str], prototypes: np.ndarray, lang: str = "lang", text: str = "text") -> dict[str, tuple[float, float]]:
+    """For each language (k, lead): its learning documents of n trigrams have a cosine of sqrt(n / (n + k)), and a lead
+    over the second language of `lead` times that, both as medians.
+
+    A text is its language's direction n times over and noise that grows by the root of n, hence the form.
+    """
+    rows = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    told = predict(rows, names, prototypes, ("lang",), out=("_p", "_s", "_c", "_l", "_n"))
+    good = told.filter((F.col("_p") == F.col("lang")) & (F.col("_n") >= LEAST_TRIGRAMS) & (F.col("_c") > 0))
+    k, lead = F.col("_n") * F.greatest(F.lit(0.0), 1 / F.col("_c") ** 2 - 1), F.col("_l") / F.col("_c")
+    sums = good.rollup("lang").agg(F.count("*").alias("n"), F.percentile_approx(k, 0.5).alias("k"), F.percentile_approx(lead, 0.5).alias("lead")).collect()
+    found = {r["lang"]: r for r in sums}
+    every = found.get(None)
+    if every is None or not every["n"]:
+        return {}
+    pick = lambda x: found[x] if x in found and found[x]["n"] >= LEAST_DOCUMENTS else every
+    return {x: (pick(x)["k"], pick(x)["lead"]) for x in names}
+
+
+def stands_out(usual: dict[str, tuple[float, float]], lang: str, cosine: str, lead: str, n: str, least_cosine: float, least_lead: float) -> Column:
+    """Whether a text reaches these parts of the cosine and the lead that are typical of its language at its length; true
+    for texts too short to tell."""
+    if not usual:
+        return F.lit(True)
+    of = lambda i: F.create_map(*(F.lit(x) for name, v in usual.items() for x in (name, float(v[i]))))[F.col(lang)]
+    expected = F.sqrt(F.col(n) / (F.col(n) + of(0)))
+    return (F.col(n) < LEAST_TRIGRAMS) | (F.col(cosine) >= least_cosine * expected) & (F.col(lead) >= least_lead * of(1) * expected)
 
 
 def fold(key: Column, n: int) -> Column:

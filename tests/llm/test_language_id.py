@@ -50,3 +50,12 @@ def test_query_on_odd_rows_and_held_out_accuracy(spark, tmp_path):
     assert li.op6_hyperdimensional_lang(spark, f"{tmp_path}/e").count() == 0
     spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/n/documents.parquet")
     assert li.op6_hyperdimensional_lang(spark, f"{tmp_path}/n").first().lang_pred == "und"
+
+
+def test_own_norms_equal_explicit_hypervectors(monkeypatch):
+    monkeypatch.setattr(li, "BLOCK_TEXTS", 2)
+    monkeypatch.setattr(li, "BLOCK_TRIGRAMS", 3)
+    letters = li.letter_vectors(128)
+    row, ids = li.trigrams(TEXTS)
+    want = [np.linalg.norm(brute_vector(t, letters)) for t in TEXTS]
+    assert np.allclose(li.own_norms(row, ids, len(TEXTS), letters), want, rtol=1e-5)

@@ -68,3 +68,21 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_texts_in_no_learned_language_go(spark, tmp_path):
+    r, letters = random.Random(3), "abcdefghijklmnopqrstuvwxyz"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*COLUMNS)
+    foreign = {
+        "pl": "nie się jest na że do to co jak tak ale za czy po go tego już tylko jego sobie był przez może być kiedy wszystko dlaczego człowiek dziecko państwo".split(),
+        "fi": "ja on ei että se hän oli mutta niin kun minä sinä tämä joka olla kaikki nyt vain sitten koska talo metsä järvi yöllä kirjasto".split(),
+        "tr": "bir ve bu için değil çok ama gibi daha kadar olarak sonra şimdi güzel çocuk insanlar gelecek yapıyor istiyorum".split(),
+    }
+    made = [" ".join(r.choice(words) for _ in range(200)) for words in foreign.values() for _ in range(3)]
+    made += [" ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 10))) for _ in range(200)) for _ in range(3)]
+    rows = [(10_000_000 + i, t, "en", "s", len(t)) for i, t in enumerate(made)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {x.doc_id for x in cp.language_filter(spark, both, "").select("doc_id").collect()}
+    assert not kept & {x[0] for x in rows}
+    lettered = {x.doc_id for x in docs.filter("text rlike '\\\\p{L}'").select("doc_id").collect()}
+    assert len(lettered - kept) <= 0.002 * len(lettered)
