@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import language_id, mixing, ngram_join, packing, quality
+from reviewlake.llm import language_id, mixing, ngram_join, packing, quality, sharding
 from reviewlake.session import delete_path, scratch_path
 
 #: A document is rejected below these scores.
@@ -40,16 +40,24 @@ def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group linked by five-word n-grams from a similarity of 0.8 on.
 
-    Of rows that repeat a doc_id one stays. Rows without a doc_id stay.
+    Rows of equal doc_id and text are one document, by the first of their other columns. Rows that share a doc_id with
+    different texts are documents of their own, and so are rows without a doc_id, which come last in a group.
     """
     from reviewlake.session import checkpointed
 
-    groups = checkpointed(ngram_join.jaccard_components(docs.select("doc_id", "text"), 5, 80))
-    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    if groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if docs.filter("doc_id is null").isEmpty() and repeated.isEmpty():
+        groups = checkpointed(ngram_join.jaccard_components(docs.select("doc_id", "text"), 5, 80))
+        copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+        return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    once = docs.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("_rest")) if rest else docs.distinct()
+    once = once.select(*(F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in docs.columns))
+    keyed = checkpointed(sharding.number_within(once.withColumn("_all", F.lit(0)), "_all", "doc_id", 1, slot="_key"))
+    groups = ngram_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"), 5, 80)
+    placed = keyed.select("_key", F.col("doc_id").alias("_id")).join(groups.select(F.col("doc_id").alias("_key"), "component_id"), "_key")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("m"))
+    return keyed.join(first.select(F.col("m._key").alias("_key")), "_key", "left_semi").select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

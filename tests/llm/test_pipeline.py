@@ -86,3 +86,14 @@ def test_texts_in_no_learned_language_go(spark, tmp_path):
     assert not kept & {x[0] for x in rows}
     lettered = {x.doc_id for x in docs.filter("text rlike '\\\\p{L}'").select("doc_id").collect()}
     assert len(lettered - kept) <= 0.002 * len(lettered)
+
+
+def test_shared_and_missing_keys_lose_no_document(spark):
+    r = random.Random(8)
+    a, b, c, d, e = (prose(r, "en", 60) for _ in range(5))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (1, b, "de", "t", 1), (2, c, "en", "s", 1), (None, c, "en", "s", 1), (None, d, "en", "s", 1), (None, d, "en", "s", 1), (None, d + " end", "en", "s", 1), (None, e, "en", "s", 1), (3, a + " end", "en", "s", 1), (4, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = [tuple(x) for x in cp.near_duplicates(spark, docs, "").collect()]
+    sure = [(1, a, "en", "s", 1), (1, b, "de", "t", 1), (2, c, "en", "s", 1), (4, None, "en", "s", 0), (None, e, "en", "s", 1)]
+    assert Counter(x for x in kept if x not in ((None, d, "en", "s", 1), (None, d + " end", "en", "s", 1))) == Counter(sure)
+    assert len(kept) == len(sure) + 1
