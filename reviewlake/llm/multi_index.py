@@ -73,9 +73,8 @@ def _linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -> float:
-    """How far over its best sum a vector must look to meet its links: the most that any link of a sample needs and half
-    more, and at least what TARGET_RECALL of made-up pairs need whose cosine is the smallest of the sample's links (the
-    threshold, if it has none)."""
+    """How far over its best sum a vector must look to meet its links: what TARGET_RECALL of made-up pairs need whose
+    cosine is the threshold, and at least the most that any link of a sample needs and half more."""
     spark = vectors.sparkSession
     got = sample(vectors, "id", PROBE_ROWS, total).toArrow()
     probes = unit(matrix(got.column("v").combine_chunks()))
@@ -90,22 +89,22 @@ def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -
             if not len(y) or not len(x):
                 continue
             hit = _linked(x, y, threshold) & (ids[:, None] != batch.column(0).to_numpy()[None, :])
-            cosines, need = x @ y.T, []
+            need = []
             for p in np.flatnonzero(hit.any(axis=1)):
                 mates = y[hit[p]]
                 f, s = distances(x[p : p + 1], books)
                 mf, ms = distances(mates, books)
                 need.append((f[0][mf.argmin(axis=1)] + s[0][ms.argmin(axis=1)] - f.min() - s.min()).max())
             if need:
-                yield pa.RecordBatch.from_arrays([pa.array([max(need)], pa.float64()), pa.array([cosines[hit].min()], pa.float64())], names=["x", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array([max(need)], pa.float64())], names=["x"])
 
-    found = vectors.select("id", "v").mapInArrow(run, "x double, c double").agg(F.max("x").alias("top"), F.min("c").alias("c")).first()
+    found = vectors.select("id", "v").mapInArrow(run, "x double").agg(F.max("x").alias("top")).first()
     if not len(probes):
         return 0.0
     r = np.random.default_rng(5)
     noise = r.normal(size=probes.shape)
     noise = unit(noise - (noise * probes).sum(1, keepdims=True) * probes)
-    cosine = min(1.0, threshold if found["c"] is None else found["c"])
+    cosine = min(1.0, threshold)
     mates = cosine * probes + np.sqrt(max(0.0, 1 - cosine**2)) * noise
     f, s = distances(probes, books)
     mf, ms = distances(mates, books)

@@ -60,3 +60,21 @@ def test_odd_vectors(spark, tmp_path):
     assert got == sorted((i or 0, *linked.get(i, (0, i or 0)), i is None or linked.get(i, (0, i))[1] == i) for i, _ in rows)
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/e/embeddings.parquet")
     assert multi_index.op10_multi_index(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_rare_links_at_the_threshold_are_met_beside_many_close_ones(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "PROBE_ROWS", 64)
+    r = np.random.default_rng(6)
+
+    def mates(x, cosine):
+        noise = r.normal(size=x.shape)
+        noise -= (noise * x).sum(1, keepdims=True) * x
+        return cosine * x + np.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+
+    base = r.normal(size=(4000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    x = np.concatenate([base, mates(base[:1500], 0.999), mates(base[-12:], r.uniform(0.901, 0.92, (12, 1)))])
+    ids = [7 * i + 1 for i in range(len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = {a.vec_id: (a.n_links, a.component_id) for a in multi_index.near_duplicates(df).collect()}
+    assert got == brute(ids, x)
