@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reviewlake.llm.token_ids import default_path, worker_encoder
 
@@ -116,12 +117,15 @@ class Packer:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(df: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits | None = None, pool: int = 32, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+def pack(df: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits | None = None, pool: int = 32, tokenizer: str | None = None, end_id: int = 2, loss_from: str | None = None) -> DataFrame:
     """The pieces of every text in packed sequences; see PIECES for the columns.
 
     A null text counts as empty, so it is the end id alone. A text of any length is cut into as many pieces as it needs.
     Repeated rows, and rows of equal keys, are packed each on its own. An empty table gives no pieces. Sequence ids hold
     the input partition above bit 40, so they are the same whenever a lost task runs again over the same split.
+
+    `loss_from` names a column with the number of a text's first loss-bearing token, as the length of a prompt: null or
+    negative means that all bear loss, a number beyond the text that none does. Without it every token bears loss.
     """
     import pyarrow as pa
 
@@ -150,9 +154,10 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits
         for batch in batches:
             keys = batch.column(0).to_pylist()
             texts = batch.column(1)
+            begins = batch.column(2).to_pylist()
             for i, k in enumerate(keys):
                 ids = np.append(encoder.encode(texts[i].as_py()), np.uint32(end_id))
-                packer.add((k, len(ids)), ids)
+                packer.add((k, len(ids)), ids, max(0, begins[i] or 0))
                 if len(packer.done) >= 1000:
                     yield rows()
             if found := rows():
@@ -161,7 +166,8 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits
         if found := rows():
             yield found
 
-    return df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text")).mapInArrow(run, PIECES)
+    begin = df[loss_from].cast("long") if loss_from else F.lit(0).cast("long")
+    return df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text"), begin.alias("loss_from")).mapInArrow(run, PIECES)
 
 
 def op5_vector_packing(spark, sf_dir: str) -> DataFrame:

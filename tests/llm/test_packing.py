@@ -68,3 +68,17 @@ def test_all_three_limits_hold():
         for t, s, x in pieces:
             seen[t].extend(x.tolist())
     assert {t: sorted(x) for t, x in seen.items()} == {t: list(range(n)) for t, (n, _) in given.items()}
+
+
+def test_loss_limit_holds_through_the_table(spark):
+    limits = packing.Limits(tokens=64, segments=8, loss_tokens=24)
+    begins = {i: None if i % 5 == 0 else i % 40 for i in range(150)} | {150: 10_000, 151: -3}
+    texts = {i: f"w{i} " * (5 + i * 7 % 40) for i in begins}
+    df = spark.createDataFrame([(i, texts[i], begins[i]) for i in begins], "doc_id long, text string, prompt int").repartition(2)
+    rows = packing.pack(df, limits=limits, pool=4, loss_from="prompt").collect()
+    check(rows, texts, 64, 8)
+    loss, tokens = defaultdict(int), defaultdict(int)
+    for x in rows:
+        loss[x.sequence_id] += max(0, x.start + x.length - max(x.start, begins[x.doc_id] or 0))
+        tokens[x.sequence_id] += x.length
+    assert max(loss.values()) <= 24 < max(tokens.values())
