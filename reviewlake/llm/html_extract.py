@@ -31,6 +31,14 @@ CONTAINERS = frozenset("article main section div td body blockquote".split())
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer foot sidebar side aside rail widget related recommended recommendations share sharing social cookie cookies consent notice notices alert popup modal overlay subscribe subscription newsletter signup login search comment comments respond reply replies disqus discussion feedback tags pagination pager copyright legal disclaimer toolbar contentinfo complementary hidden print skip gdpr paywall toc".split()
 )
+#: Before or behind a marked word of the same name, these say that the element itself is something else.
+UNMARKED_BEHIND = frozenset("no not has have with without overflow".split())
+UNMARKED_BEFORE = frozenset("open closed off none disabled enabled".split())
+#: Never dropped for a word.
+WHOLE = frozenset("html body article main".split())
+#: A container with this part of a page's prose is not dropped for a word, unless the word says that readers wrote it.
+MOST = 0.75
+READERS = frozenset("comment comments respond reply replies disqus discussion feedback".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
@@ -42,8 +50,8 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     __slots__ = ("tag", "step", "dropped", "children", "parent", "marked")
 
-    def __init__(self, tag, step, dropped, parent):
-        self.tag, self.step, self.dropped, self.parent = tag, step, dropped, parent
+    def __init__(self, tag, step, dropped, parent, marked=0):
+        self.tag, self.step, self.dropped, self.parent, self.marked = tag, step, dropped, parent, marked
         self.children = []
 
 
@@ -54,28 +62,59 @@ def unescape(s: str) -> str:
     return "&".join(htmllib.unescape(p) if "&" in p else p for p in s.split("&amp;"))
 
 
-def _described(tag: str, attributes: str) -> tuple[str, bool]:
-    """(path step, whether the element is marked as no part of an article)."""
+def _marks(name: str) -> int:
+    """Whether a single class, id or role marks its element: 2 if as what readers wrote, 1 if as anything else."""
+    found = WORD.findall(CAMEL.sub("-", name).lower())
+    for i, w in enumerate(found):
+        if w in MARKED and not (i and found[i - 1] in UNMARKED_BEHIND) and not (i + 1 < len(found) and found[i + 1] in UNMARKED_BEFORE):
+            return 2 if w in READERS else 1
+    return 0
+
+
+def _described(tag: str, attributes: str) -> tuple[str, int, bool]:
+    """(path step, whether a word marks the element as no part of an article, whether it is hidden)."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return tag, False
-    words, marked = [], False
+        return tag, 0, False
+    words, marked, hidden = [], 0, False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
         if name in ("class", "id", "role"):
             found = WORD.findall(CAMEL.sub("-", value).lower())
-            marked |= any(w in MARKED for w in found)
+            if any(w in MARKED for w in found):
+                marked = max([marked, *map(_marks, value.split())])
             if name == "class":
                 words += found
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            marked = True
+            hidden = True
         elif name == "style":
-            marked |= "display:none" in value.replace(" ", "").lower()
-    return tag + "".join("." + w for w in sorted(set(words))), marked
+            hidden |= "display:none" in value.replace(" ", "").lower()
+    return tag + "".join("." + w for w in sorted(set(words))), marked, hidden
 
 
-def parse(page: str) -> Node:
-    """A light tree: nodes and texts. Mends left-out end tags of p, li, dt, dd and table parts; a stray end tag is ignored."""
-    root = Node("#root", "", False, None)
+def _keep_most(root: Node) -> None:
+    """Takes back the drop of containers that were marked by a word but hold MOST of the page's prose outside links."""
+    prose: dict[int, int] = {}
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        prose[id(node)] = 0 if node.tag == "a" else sum(len(c) for c in node.children if isinstance(c, str) and not c.isspace())
+        if node.tag != "a":
+            stack.extend(c for c in node.children if not isinstance(c, str) and (not c.dropped or c.marked))
+    for node in reversed(order):
+        if node is not root:
+            prose[id(node.parent)] += prose[id(node)]
+    for node in order:
+        if node.marked == 1 and node.tag in CONTAINERS and prose[id(node)] > 0 and prose[id(node)] >= MOST * prose[id(root)]:
+            node.dropped = False
+
+
+def parse(page: str, words: bool = True) -> Node:
+    """A light tree: nodes and texts. Mends left-out end tags of p, li, dt, dd and table parts; a stray end tag is ignored.
+
+    Without `words` no element is dropped for its class, id or role.
+    """
+    root, some = Node("#root", "", False, None), False
     at, pos, lower = root, 0, None
     end = len(page)
     while pos < end:
@@ -116,8 +155,13 @@ def parse(page: str) -> Node:
                 up = up.parent
             if ended is not None:
                 at = ended.parent
-        step, marked = _described(tag, m[3])
-        node = Node(tag, step, marked and tag not in ("html", "body") or tag in DROPPED, at)
+        step, marked, hidden = _described(tag, m[3])
+        gone = hidden and tag not in ("html", "body") or tag in DROPPED
+        # Marked: dropped for a word alone.
+        if not words or tag in WHOLE or gone:
+            marked = 0
+        some = some or marked == 1
+        node = Node(tag, step, gone or marked > 0, at, marked)
         at.children.append(node)
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "path"):
             continue
@@ -132,6 +176,8 @@ def parse(page: str) -> Node:
                 pos = end if close < 0 else close + 1
             continue
         at = node
+    if some:
+        _keep_most(root)
     return root
 
 
@@ -239,14 +285,20 @@ def find_path(root: Node, path: str) -> list[Node]:
 
 
 def extract(page: str | None, path: str | None) -> str:
-    """The main text of one page, by its host's winning path or else its own best container."""
+    """The main text of one page, by its host's winning path or else its own best container.
+
+    If nothing is left, the page is read again and no element dropped for a word.
+    """
     if not page:
         return ""
-    root = parse(page)
-    found = find_path(root, path) if path else []
-    texts = [b for node in found for b in blocks(node)]
-    if not texts:
-        texts = blocks(best_container(root))
+    for words in (True, False):
+        root = parse(page, words)
+        found = find_path(root, path) if path else []
+        texts = [b for node in found for b in blocks(node)]
+        if not texts:
+            texts = blocks(best_container(root))
+        if texts:
+            break
     return "\n\n".join(texts)
 
 
@@ -254,8 +306,11 @@ def vote(page: str | None) -> tuple[str | None, int]:
     """(path, characters of prose) of a page's best container; no path for a page without text."""
     if not page:
         return None, 0
-    node = best_container(parse(page))
-    n = sum(map(len, blocks(node)))
+    for words in (True, False):
+        node = best_container(parse(page, words))
+        n = sum(map(len, blocks(node)))
+        if n:
+            break
     return (path_of(node) if n and node.tag != "#root" else None), n
 
 

@@ -40,3 +40,28 @@ def test_odd_pages(spark, tmp_path):
     assert got[6][2] == 30000 * 3 - 2
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/e/pages.parquet")
     assert hx.op8_consensus_paths(spark, f"{tmp_path}/e").count() == 0
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        *(f'<{tag} class="{name}"><h1>Title</h1>{BODY}</{tag}>' for tag in ("div", "article", "main") for name in ("content no-sidebar", "has-sidebar main", "post comments-open", "print-content", "overflow-hidden", "elementor-widget-text-editor")),
+        f'<div class="print-content"><h1>Title</h1>{BODY}</div><div class="ad">Buy this now</div><p>Short line.</p>',
+    ],
+)
+def test_words_of_a_class_do_not_drop_the_article(inner):
+    page = f"<body><header>Site</header>{inner}<footer>(c) 2024</footer></body>"
+    assert WANT in hx.extract(page, None) and WANT in hx.extract(page, hx.vote(page)[0])
+    assert "Buy" not in hx.extract(page, None)
+
+
+def test_a_page_of_marked_parts_alone_is_not_empty():
+    page = '<body><div class="share">' + "some words here " * 4 + '</div><div class="widget">' + "other words there " * 4 + "</div></body>"
+    assert "words" in hx.extract(page, None) and hx.vote(page)[1] > 0
+    hidden = f'<body><div style="display:none">{BODY}</div></body>'
+    assert hx.extract(hidden, None) == ""
+
+
+def test_a_long_thread_of_comments_is_still_dropped():
+    page = f'<body><div class="post"><h1>Title</h1>{BODY}</div><div class="comments">' + "<p>A reader writes at length.</p>" * 99 + "</div></body>"
+    assert hx.extract(page, None) == WANT
