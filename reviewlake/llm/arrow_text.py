@@ -1,4 +1,4 @@
-"""Vectorised text work on Arrow buffers: word bounds and 64-bit hashes of words and shingles.
+"""Vectorised text work on Arrow buffers: bounded batches, word bounds and 64-bit hashes of words and shingles.
 
 A word is a run of other bytes than space, tab, line feed, vertical tab, form feed and carriage return. A word's hash is
 a polynomial over its bytes modulo 2 ** 64, found from running sums, so its cost does not depend on word lengths.
@@ -10,6 +10,43 @@ import numpy as np
 
 #: Text handled at once; bounds the memory of the arrays below. One longer text makes a block of its own.
 BLOCK_BYTES = 1 << 19
+#: Rows and bytes of a batch that Spark hands to a worker at once, at most; one longer row makes a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 2048, 4 << 20
+#: Bytes of text whose words are hashed at once, and so the powers that a hasher keeps; a longer word is hashed alone.
+HASHED_BYTES = 1 << 18
+
+
+def give_back() -> None:
+    """Returns what this process has freed to the system, so that a worker does not keep the size of its largest task."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def arrow_map(df, run, schema: str):
+    """df.mapInArrow(run, schema) with batches bounded by rows and bytes, and memory given back at the end of a task.
+
+    The bounds are settings of the session, which are lowered if they are above BATCH_ROWS and BATCH_BYTES.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    given = conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")
+    if not given.lstrip("-").isdigit() or not 0 < int(given) <= BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,7 +107,7 @@ class WordHasher:
 
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
-            m = max(n, 1 << 16)
+            m = max(n, HASHED_BYTES + 1)
             for name, base in (("powers", self.BASE), ("inverse", self.back)):
                 steps = np.full(m, base, np.uint64)
                 steps[0] = 1
@@ -81,7 +118,6 @@ class WordHasher:
         if not len(data):
             empty = np.zeros(0, np.int64)
             return empty, empty, empty, np.zeros(0, np.uint64)
-        self._grow(len(data) + 1)
         inside = ~self.space[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
@@ -94,9 +130,18 @@ class WordHasher:
         cut = cut[cut > 0]
         ends[cut - 1] = inside[cut - 1]
         end = np.flatnonzero(ends) + 1
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.codes[data] * self.powers[: len(data)], out=total[1:])
-        hashes = mixed((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+        hashes, first = np.empty(len(start), np.uint64), 0
+        while first < len(start):
+            last = max(first + 1, int(np.searchsorted(end, start[first] + HASHED_BYTES, side="right")))
+            a, b = int(start[first]), int(end[last - 1])
+            self._grow(b - a + 1)
+            total = np.zeros(b - a + 1, np.uint64)
+            np.cumsum(self.codes[data[a:b]] * self.powers[: b - a], out=total[1:])
+            s, e = start[first:last] - a, end[first:last] - a
+            hashes[first:last] = mixed((total[e] - total[s]) * self.inverse[s] + (e - s).astype(np.uint64))
+            first = last
+            if len(self.powers) > HASHED_BYTES + 1:
+                self.powers = self.inverse = np.ones(1, np.uint64)
         return start, end, np.searchsorted(bounds, start, side="right") - 1, hashes
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from reviewlake.llm.arrow_text import arrow_map
 from reviewlake.llm.vectors import matrix, one_length, sample, unit, usable
 from reviewlake.session import checkpointed
 
@@ -144,7 +145,7 @@ def _leaves_needed(forest: Forest, classes: DataFrame, queries: DataFrame, n_que
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel()), pa.array(leaves.tolist(), pa.list_(pa.int64()))], names=["q", "id", "score", "leaves"])
 
     # PROBE_ROWS times k rows at most reach the driver.
-    true = _merged(classes.select("id", "v").mapInArrow(run, "q long, id long, score double, leaves array<long>"), k).select("q", "leaves").collect()
+    true = _merged(arrow_map(classes.select("id", "v"), run, "q long, id long, score double, leaves array<long>"), k).select("q", "leaves").collect()
     if not true:
         return every
     margins = [t.margins(x) for t in forest.trees]
@@ -201,8 +202,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
             leaves = [list(forest.search([m[n] for m in margins], most)) for n in range(len(x))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaves, pa.list_(pa.int32()))], names=["q", "v", "leaves"])
 
-    indexed = checkpointed(classes.mapInArrow(index, f"id long, v {kind}, ids array<long>, leaves array<int>")).select("id", "v", "ids", F.explode("leaves").alias("leaf"))
-    routed = checkpointed(asked.mapInArrow(route, f"q long, v {kind}, leaves array<int>")).select("q", "v", F.explode("leaves").alias("leaf"))
+    indexed = checkpointed(arrow_map(classes, index, f"id long, v {kind}, ids array<long>, leaves array<int>")).select("id", "v", "ids", F.explode("leaves").alias("leaf"))
+    routed = checkpointed(arrow_map(asked, route, f"q long, v {kind}, leaves array<int>")).select("q", "v", F.explode("leaves").alias("leaf"))
 
     def packed(rows: DataFrame, by: str, columns: list[str], name: str) -> DataFrame:
         sizes = rows.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
@@ -225,7 +226,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
                 )
 
     # A class met in several trees comes with one score, but for rounding; the exact one follows below.
-    found = meetings.mapInArrow(meet, "q long, id long, score double").groupBy("q", "id").agg(F.max("score").alias("score"))
+    found = arrow_map(meetings, meet, "q long, id long, score double").groupBy("q", "id").agg(F.max("score").alias("score"))
     top = _merged(found, k + 1).select("q", "id")
     both = top.join(classes, "id").select("q", "ids", F.col("v").alias("y")).join(asked.select("q", F.col("v").alias("x")), "q")
 

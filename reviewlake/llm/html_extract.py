@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.llm.arrow_text import arrow_map
 from reviewlake.session import checkpointed
 
 # The HTML standard's elements by kind.
@@ -332,7 +333,7 @@ def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())], names=["host", "path", "n"]
             )
 
-    votes = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, path string, n long")
+    votes = arrow_map(pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")), run, "host string, path string, n long")
     sums = votes.filter("path is not null and host is not null and host <> ''").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("n").alias("n"))
     return sums.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), -F.col("n"), "path")).alias("path"))
 
@@ -358,7 +359,7 @@ def extract_pages(pages: DataFrame, keep: tuple[str, ...], url: str = "url", htm
             texts = [extract(h.as_py(), p) for h, p in zip(batch.column(k), batch.column(k + 1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(k)), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"])
 
-    return joined.mapInArrow(run, ", ".join([*fields, "text string", "n_chars long"]))
+    return arrow_map(joined, run, ", ".join([*fields, "text string", "n_chars long"]))
 
 
 def op8_consensus_paths(spark, sf_dir: str) -> DataFrame:

@@ -1,61 +1,75 @@
 """Language identification by hyperdimensional profiles.
 
-Each letter has a random vector of +1 and -1. A trigram's vector binds its letters' vectors, the first permuted twice,
-the second once, by component-wise products; a text's vector is the sum of its trigrams' vectors, a language's prototype
-the sum over its training texts. A text gets the language of the largest cosine.
+Each letter has a random vector of +1 and -1 of its own, drawn from its code point. A trigram's vector binds its letters'
+vectors, the first permuted twice, the second once, by component-wise products; a text's vector is the sum of its
+trigrams' vectors, a language's prototype the sum over its training texts. A text gets the language of the largest cosine.
 
 The dot product of a text with a prototype is the sum, over the text's trigrams, of that trigram's dot product with the
-prototype. So each worker makes one table of these numbers and a text costs one look-up a letter. The text's own norm is
-the same factor in its cosines with all languages; the ranking and the score do not need it.
+prototype. Trigrams of the commonest letters have a table of these numbers, those of all other letters a bounded cache, so
+a text costs one look-up a letter. The text's own norm is the same factor in its cosines with all languages; the ranking
+and the score do not need it.
 """
 
 from __future__ import annotations
 
-import sys
+from functools import cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.llm.arrow_text import arrow_map, mixed
+
 SYMBOLS, DIMENSIONS, SEED = 64, 2048, 20240229
+#: Letters whose trigrams have a table; the blank comes first. Every other letter is as good, only looked up in the cache.
+COMMON = "\0abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœğşıł"
 #: Characters handled at once, and texts and trigrams whose vectors are.
 BLOCK_CHARS, BLOCK_TEXTS, BLOCK_TRIGRAMS = 1 << 19, 256, 512
+#: Bytes of a worker's cache of trigrams, languages that have a table of common trigrams, and languages counted at once.
+CACHE_BYTES, TABLE_LANGUAGES, COUNTED_LANGUAGES = 1 << 24, 32, 16
 #: Fewer trigrams do not tell how near a text is to a language; a language of fewer documents takes what all have in common.
 LEAST_TRIGRAMS, LEAST_DOCUMENTS = 32, 30
 
 
-def symbol_table(limit: int = 0x30000) -> np.ndarray:
-    """The symbol of each code point: 0 if it is no letter, 1 to 26 for a to z, 27 to 63 for other letters, by remainder."""
-    kept = sys.__dict__.setdefault("_kept_symbols", {})
-    if limit not in kept:
-        letters = np.array([chr(i).isalpha() for i in range(limit)])
-        out = np.where(letters, 27 + np.arange(limit) % (SYMBOLS - 27), 0).astype(np.uint8)
-        out[97:123] = np.arange(1, 27)
-        kept[limit] = out
-    return kept[limit]
+@cache
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([chr(i).isalpha() for i in range(0x110000)])
+
+
+@cache
+def common_symbols() -> tuple[np.ndarray, np.ndarray]:
+    """(the place in COMMON of each code point below 512, 255 for others; the code points of COMMON)."""
+    points = np.array([ord(c) for c in COMMON], np.int64)
+    table = np.full(512, 255, np.int64)
+    table[points] = np.arange(len(points))
+    return table, points
 
 
-def letter_vectors(dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
-    return np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (SYMBOLS, dimensions))
+def letter_vectors(points: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
+    """The vector of +1 and -1 of each code point, as int8: the bits of a mixed counter that starts from the code point."""
+    words = -(-dimensions // 64)
+    at = (points.astype(np.uint64)[:, None] << np.uint64(16)) + np.arange(1, words + 1, dtype=np.uint64)[None, :]
+    bits = np.unpackbits(mixed(mixed(at + np.uint64(seed)) + np.uint64(0x9E3779B97F4A7C15)).view(np.uint8), axis=1)
+    return (bits[:, :dimensions].astype(np.int8) * 2 - 1).astype(np.int8)
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, trigram id) of every trigram of lower-cased letters.
 
-    A run of other characters counts as one blank, and so do the ends of a text, so one letter alone makes a trigram.
+    A run of other characters counts as one blank, and so do the ends of a text, so one letter alone makes a trigram. A
+    trigram of COMMON letters has an id from 0 on, any other one a negative id; `spelled` gives the letters back.
     """
-    rows, codes, lengths = [], [], []
-    for t in texts:
-        lengths.append(0 if not t else len(t.lower()))
-    data = np.frombuffer("".join(t.lower() for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
-    table = symbol_table()
-    row = np.repeat(np.arange(len(texts)), lengths)
-    s = np.where(data < len(table), table[np.minimum(data, len(table) - 1)], 0)
+    lower = [t.lower() if t else "" for t in texts]
+    data = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in lower])
+    del lower
+    s = np.where(letter_table()[data], data, 0).astype(np.uint32)
     change = np.ones(len(row), bool)
     change[1:] = row[1:] != row[:-1]
     keep = s > 0
     keep[1:] |= (s[:-1] > 0) & ~change[1:]
-    s, row, change = s[keep], row[keep], change[keep]
+    s, row = s[keep], row[keep]
     if not len(s):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     # A blank goes before each text's first letter and behind its last one, if none is there.
@@ -66,56 +80,127 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     before = np.flatnonzero(first & (s > 0))
     behind = np.flatnonzero(last & (s > 0)) + 1
     at = np.concatenate([behind, before])
-    s = np.insert(s, at, 0).astype(np.int64)
+    s = np.insert(s, at, 0)
     row = np.insert(row, at, np.concatenate([row[behind - 1], row[before]]))
-    ids = (s[:-2] << 12) | (s[1:-1] << 6) | s[2:]
-    rows = row[1:-1]
-    good = (row[:-2] == rows) & (row[2:] == rows) & (s[1:-1] > 0)
-    return rows[good], ids[good]
-
-
-def bundled(counts: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """The sum of trigram vectors, each as often as counted: whole numbers."""
-    twice, once = np.roll(letters, 2, axis=1).astype(np.int64), np.roll(letters, 1, axis=1).astype(np.int64)
-    out = np.zeros(letters.shape[1], np.int64)
-    found = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
-    for b in range(1, SYMBOLS):
-        part = found[:, b, :]
-        if part.any():
-            out += once[b] * ((part @ letters.astype(np.int64)) * twice).sum(axis=0)
-    return out
-
-
-def dot_table(prototypes: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """For each trigram id, the cosine times the text-independent factor: its vector by each prototype of unit length."""
-    norms = np.sqrt((prototypes.astype(np.float64) ** 2).sum(axis=1))
-    units = (prototypes / np.where(norms > 0, norms, 1)[:, None]).astype(np.float32)
-    twice, once = np.roll(letters, 2, axis=1).astype(np.float32), np.roll(letters, 1, axis=1).astype(np.float32)
-    thrice = letters.astype(np.float32)
-    out = np.zeros((SYMBOLS, SYMBOLS, SYMBOLS, len(units)), np.float32)
-    for k, unit in enumerate(units):
+    table, _ = common_symbols()
+    symbol = np.where(s < len(table), table[np.minimum(s, len(table) - 1)], 255)
+    good = (row[:-2] == row[1:-1]) & (row[2:] == row[1:-1]) & (s[1:-1] > 0)
+    ids = (symbol[:-2] << 12) | (symbol[1:-1] << 6) | symbol[2:]
+    other = (symbol == 255)[:-2] | (symbol == 255)[1:-1] | (symbol == 255)[2:]
+    if other.any():
+        wide = s.astype(np.int64)
+        ids = np.where(other, -1 - ((wide[:-2] << 42) | (wide[1:-1] << 21) | wide[2:]), ids)
+    return row[1:-1][good].astype(np.int64), ids[good]
+
+
+def spelled(ids: np.ndarray) -> np.ndarray:
+    """(trigrams, 3): the code points of trigram ids; 0 is the blank."""
+    _, points = common_symbols()
+    packed, plain = -1 - ids, np.maximum(ids, 0)
+    wide = np.stack([packed >> 42, (packed >> 21) & 0x1FFFFF, packed & 0x1FFFFF], 1)
+    near = points[np.stack([plain >> 12, (plain >> 6) & 63, plain & 63], 1)]
+    return np.where((ids < 0)[:, None], wide, near)
+
+
+def trigram_vectors(ids: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
+    """The vector of each trigram id, as int8."""
+    points, at = np.unique(spelled(ids), return_inverse=True)
+    v, at = letter_vectors(points, dimensions, seed), at.reshape(-1, 3)
+    return np.roll(v, 2, axis=1)[at[:, 0]] * np.roll(v, 1, axis=1)[at[:, 1]] * v[at[:, 2]]
+
+
+def bundled(ids: np.ndarray, counts: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
+    """The sum of the vectors of distinct trigrams, each as often as counted: whole numbers, exact in double precision."""
+    out = np.zeros(dimensions)
+    plain = ids >= 0
+    if plain.any():
+        cube = np.bincount(ids[plain], counts[plain].astype(float), SYMBOLS**3).reshape(SYMBOLS, SYMBOLS, SYMBOLS)
+        v = letter_vectors(common_symbols()[1], dimensions, seed).astype(float)
+        twice, once = np.roll(v, 2, axis=1), np.roll(v, 1, axis=1)
         for b in range(1, SYMBOLS):
-            out[:, b, :, k] = twice @ (thrice * (once[b] * unit)).T
-    return out.reshape(SYMBOLS**3, len(units))
-
-
-def own_norms(row: np.ndarray, ids: np.ndarray, n: int, letters: np.ndarray) -> np.ndarray:
+            if cube[:, b, :].any():
+                out += once[b] * ((cube[:, b, :] @ v) * twice).sum(axis=0)
+    rest, n = ids[~plain], counts[~plain].astype(float)
+    for a in range(0, len(rest), BLOCK_TRIGRAMS):
+        out += n[a : a + BLOCK_TRIGRAMS] @ trigram_vectors(rest[a : a + BLOCK_TRIGRAMS], dimensions, seed).astype(float)
+    return out.astype(np.int64)
+
+
+class Dots:
+    """The dot product of each trigram's vector with each prototype, scaled to length 1."""
+
+    def __init__(self, prototypes: np.ndarray, dimensions: int, seed: int):
+        norms = np.sqrt((prototypes.astype(np.float64) ** 2).sum(axis=1))
+        self.units = (prototypes / np.where(norms > 0, norms, 1)[:, None]).astype(np.float32)
+        self.dimensions, self.seed = dimensions, seed
+        self.most = CACHE_BYTES // (8 + 4 * max(1, len(self.units)))
+        self._clear()
+        self.table = None
+        if len(self.units) <= TABLE_LANGUAGES:
+            v = letter_vectors(common_symbols()[1], dimensions, seed).astype(np.float32)
+            twice, once = np.roll(v, 2, axis=1), np.roll(v, 1, axis=1)
+            self.table = np.zeros((SYMBOLS, SYMBOLS, SYMBOLS, len(self.units)), np.float32)
+            for k, unit in enumerate(self.units):
+                for b in range(1, SYMBOLS):
+                    self.table[:, b, :, k] = twice @ (v * (once[b] * unit)).T
+            self.table = self.table.reshape(SYMBOLS**3, len(self.units))
+
+    def _clear(self):
+        self.keys, self.values = np.zeros(0, np.int64), np.zeros((0, len(self.units)), np.float32)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """(trigrams, languages)."""
+        if self.table is not None:
+            if not (ids < 0).any():
+                return self.table[ids]
+            out = self.table[np.maximum(ids, 0)]
+            rare = np.flatnonzero(ids < 0)
+        else:
+            out, rare = np.zeros((len(ids), len(self.units)), np.float32), np.arange(len(ids))
+        found, place = np.unique(ids[rare], return_inverse=True)
+        for a in range(0, len(found), self.most):
+            part = found[a : a + self.most]
+            new = part[~np.isin(part, self.keys)]
+            if len(new):
+                if len(self.keys) + len(new) > self.most:
+                    self._clear()
+                    new = part
+                made = [trigram_vectors(new[i : i + BLOCK_TRIGRAMS], self.dimensions, self.seed).astype(np.float32) @ self.units.T for i in range(0, len(new), BLOCK_TRIGRAMS)]
+                keys = np.concatenate([self.keys, new])
+                order = np.argsort(keys)
+                self.keys, self.values = keys[order], np.concatenate([self.values, *made])[order]
+            own = (place >= a) & (place < a + len(part))
+            out[rare[own]] = self.values[np.searchsorted(self.keys, part)][place[own] - a]
+        return out
+
+
+#: The worker's tables of the last prototypes it has scored with.
+_KEPT: dict[int, Dots] = {}
+
+
+def worker_dots(stamp: int, prototypes: np.ndarray, dimensions: int, seed: int) -> Dots:
+    if stamp not in _KEPT:
+        _KEPT.clear()
+        _KEPT[stamp] = Dots(prototypes, dimensions, seed)
+    return _KEPT[stamp]
+
+
+def own_norms(row: np.ndarray, ids: np.ndarray, n: int, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
     """The norm of the vector of each of n texts, from the trigrams of `trigrams`; exact, by blocks of bounded size."""
-    twice, once = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
     out = np.zeros(n)
     for first in range(0, n, BLOCK_TEXTS):
         size = min(BLOCK_TEXTS, n - first)
         lo, hi = np.searchsorted(row, (first, first + size))
-        cells, counts = np.unique(ids[lo:hi] * size + (row[lo:hi] - first), return_counts=True)
-        kind, at = np.divmod(cells, size)
-        found, place = np.unique(kind, return_inverse=True)
-        total = np.zeros((size, letters.shape[1]), np.float32)
+        found, kind = np.unique(ids[lo:hi], return_inverse=True)
+        cells, counts = np.unique(kind * size + (row[lo:hi] - first), return_counts=True)
+        place, at = np.divmod(cells, size)
+        total = np.zeros((size, dimensions), np.float32)
         for a in range(0, len(found), BLOCK_TRIGRAMS):
             s = found[a : a + BLOCK_TRIGRAMS]
             i, j = np.searchsorted(place, (a, a + len(s)))
             many = np.zeros((size, len(s)), np.float32)
             many[at[i:j], place[i:j] - a] = counts[i:j]
-            total += many @ (twice[s >> 12] * once[(s >> 6) & (SYMBOLS - 1)] * letters[s & (SYMBOLS - 1)]).astype(np.float32)
+            total += many @ trigram_vectors(s, dimensions, seed).astype(np.float32)
         out[first : first + size] = np.sqrt((total.astype(np.float64) ** 2).sum(axis=1))
     return out
 
@@ -137,29 +222,49 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", dimensions: int
     """(languages in order, prototypes) from all rows of df with a text and a language.
 
     Each task sends one vector for each language, and Spark adds them up component by component, so what reaches the
-    driver is one vector for each language. A text weighs by its letters. No usable row gives no language.
+    driver is one vector for each language: 16 kB each. A task counts the trigrams of a few languages at a time and keeps
+    sums of vectors of the others. A text weighs by its letters. No usable row gives no language.
     """
 
     def run(batches):
         import pyarrow as pa
 
-        letters, counts = letter_vectors(dimensions, seed), {}
+        cubes, rare, sums, size = {}, {}, {}, 0
+
+        def bundle():
+            for one, cube in cubes.items():
+                at = np.flatnonzero(cube)
+                sums[one] = sums.get(one, 0) + bundled(at, cube[at], dimensions, seed)
+            for one, parts in rare.items():
+                ids, n = np.unique(np.concatenate(parts), return_counts=True)
+                sums[one] = sums.get(one, 0) + bundled(ids, n, dimensions, seed)
+            cubes.clear()
+            rare.clear()
+
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for first, texts in text_runs(batch.column(1).to_pylist()):
                 row, ids = trigrams(texts)
-                own = np.array(langs[first : first + len(texts)], object)[row] if len(row) else np.zeros(0, object)
-                for one in set(langs[first : first + len(texts)]):
-                    at = ids[own == one]
-                    if len(at):
-                        counts.setdefault(one, np.zeros(SYMBOLS**3, np.int64))
-                        counts[one] += np.bincount(at, minlength=SYMBOLS**3)
-        if counts:
-            names = sorted(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([bundled(counts[x], letters) for x in names], pa.list_(pa.int64()))], names=["lang", "v"])
+                names, code = np.unique(np.array(langs[first : first + len(texts)], object).astype(str), return_inverse=True)
+                own = code[row]
+                for k, one in enumerate(names):
+                    found = ids[own == k]
+                    plain = found[found >= 0]
+                    if len(plain):
+                        cubes[str(one)] = cubes.get(str(one), 0) + np.bincount(plain, minlength=SYMBOLS**3)
+                    if len(plain) < len(found):
+                        rare.setdefault(str(one), []).append(found[found < 0])
+                        size += len(found) - len(plain)
+                    if size > BLOCK_CHARS or len(cubes) > COUNTED_LANGUAGES:
+                        bundle()
+                        size = 0
+        bundle()
+        if sums:
+            names = sorted(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([sums[x] for x in names], pa.list_(pa.int64()))], names=["lang", "v"])
 
     rows = df.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    parts = rows.mapInArrow(run, "lang string, v array<long>").select("lang", F.posexplode("v").alias("i", "x"))
+    parts = arrow_map(rows, run, "lang string, v array<long>").select("lang", F.posexplode("v").alias("i", "x"))
     sums = parts.groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
     found = sorted(sums.collect(), key=lambda r: r["lang"])
     return [r["lang"] for r in found], np.array([r["v"] for r in found], np.int64).reshape(len(found), dimensions)
@@ -170,24 +275,22 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
 
     score: the best cosine's part of the sum of all positive ones, from 0 to 1. A text that is null or without a letter,
     or no learned language, gives `und` and 0. Equal cosines give the name that comes first. Three more names in `out` add
-    the best cosine itself, own norm included, its lead over the second best and the number of trigrams.
+    the best cosine itself, own norm included, its lead over the second best and the number of trigrams. Repeated rows are
+    told each; an empty table gives an empty one; other columns of df than `keep` and the text are not read.
     """
     near = len(out) > 2
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields]
     at = keep.index(text) if text in keep else len(keep)
     stamp = hash((tuple(names), prototypes.tobytes()))
+    block = max(1 << 12, BLOCK_CHARS * 8 // max(8, len(names)))
 
     def run(batches):
         import pyarrow as pa
 
-        kept = sys.__dict__.setdefault("_kept_dots", {})
-        if stamp not in kept:
-            kept.clear()
-            kept[stamp] = dot_table(prototypes, letter_vectors(dimensions, seed))
-        table, letters = kept[stamp], letter_vectors(dimensions, seed)
+        dots_of = worker_dots(stamp, prototypes, dimensions, seed) if names else None
         for batch in batches:
             best, score, cosine, lead, size = [], [], [], [], []
-            for _, texts in text_runs(batch.column(at).to_pylist()):
+            for _, texts in text_runs(batch.column(at).to_pylist(), block):
                 row, ids = trigrams(texts)
                 n = np.bincount(row, minlength=len(texts))
                 size += n.tolist()
@@ -198,8 +301,11 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
                     score += [0.0] * len(texts)
                     continue
                 dots = np.zeros((len(texts), len(names)))
-                for k in range(len(names)):
-                    dots[:, k] = np.bincount(row, weights=table[ids, k], minlength=len(texts))
+                for a in range(0, len(ids), block):
+                    own = row[a : a + block]
+                    weights = dots_of.of(ids[a : a + block])
+                    for k in range(len(names)):
+                        dots[:, k] += np.bincount(own, weights=weights[:, k], minlength=len(texts))
                 top = dots.argmax(axis=1)
                 positive = np.maximum(dots, 0)
                 total = positive.sum(axis=1)
@@ -207,7 +313,7 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
                 best += [names[k] if m else "und" for k, m in zip(top, n, strict=True)]
                 score += np.where(n > 0, share, 0.0).tolist()
                 if near:
-                    norms = own_norms(row, ids, len(texts), letters)
+                    norms = own_norms(row, ids, len(texts), dimensions, seed)
                     ranked = np.sort(dots / np.where(norms > 0, norms, 1)[:, None], axis=1)
                     cosine += ranked[:, -1].tolist()
                     lead += (ranked[:, -1] - (ranked[:, -2] if len(names) > 1 else 0)).tolist()
@@ -217,7 +323,7 @@ def predict(df: DataFrame, names: list[str], prototypes: np.ndarray, keep: tuple
             yield pa.RecordBatch.from_arrays(made, names=[*keep, *out])
 
     rows = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(run, ", ".join([*fields, *(f"`{x}` {t}" for x, t in zip(out, ("string", "double", "double", "double", "long")))]))
+    return arrow_map(rows, run, ", ".join([*fields, *(f"`{x}` {t}" for x, t in zip(out, ("string", "double", "double", "double", "long")))]))
 
 
 def typical(df: DataFrame, names: list[str], prototypes: np.ndarray, lang: str = "lang", text: str = "text") -> dict[str, tuple[float, float]]:

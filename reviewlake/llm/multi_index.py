@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.llm.arrow_text import arrow_map
 from reviewlake.llm.vectors import matrix, one_length, sample, unit, usable
 from reviewlake.operators.graph import connected_components
 from reviewlake.session import checkpointed
@@ -98,7 +99,7 @@ def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -
             if need:
                 yield pa.RecordBatch.from_arrays([pa.array([max(need)], pa.float64())], names=["x"])
 
-    found = vectors.select("id", "v").mapInArrow(run, "x double").agg(F.max("x").alias("top")).first()
+    found = arrow_map(vectors.select("id", "v"), run, "x double").agg(F.max("x").alias("top")).first()
     if not len(probes):
         return 0.0
     r = np.random.default_rng(5)
@@ -173,7 +174,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(home, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["id", "w", "v", "home", "cells"])
 
     kind = classes.schema["v"].dataType.simpleString()
-    placed = checkpointed(classes.mapInArrow(visits, f"id long, w long, v {kind}, home int, cells array<int>"))
+    placed = checkpointed(arrow_map(classes, visits, f"id long, w long, v {kind}, home int, cells array<int>"))
     # Blocks of a cell's residents and of its visitors, by a hash of the id; their number follows the cell's size.
     counts = placed.groupBy("home").agg(F.count("*").alias("n")).select(F.col("home").alias("cell"), F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
     residents = placed.join(counts, placed["home"] == counts["cell"]).select("cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "w", "v", "home")
@@ -199,7 +200,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                 if found is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["id", "links", "low"])
 
-    found = checkpointed(meetings.mapInArrow(meet, "id long, links long, low long").groupBy("id").agg(F.sum("links").alias("links"), F.collect_set("low").alias("lows")))
+    found = checkpointed(arrow_map(meetings, meet, "id long, links long, low long").groupBy("id").agg(F.sum("links").alias("links"), F.collect_set("low").alias("lows")))
     edges = found.select("id", F.explode("lows").alias("low")).filter("id <> low")
     placed_in = connected_components(edges, "id", "low")
     sums = classes.join(found, "id", "left").join(placed_in, classes["id"] == placed_in["node"], "left")

@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.llm.arrow_text import arrow_map
 from reviewlake.llm.token_ids import default_path, worker_encoder
 
 
@@ -167,7 +168,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits
             yield found
 
     begin = df[loss_from].cast("long") if loss_from else F.lit(0).cast("long")
-    return df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text"), begin.alias("loss_from")).mapInArrow(run, PIECES)
+    return arrow_map(df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text"), begin.alias("loss_from")), run, PIECES)
 
 
 def op5_vector_packing(spark, sf_dir: str) -> DataFrame:

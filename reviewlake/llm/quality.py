@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.arrow_text import WordHasher, text_blocks
+from reviewlake.llm.arrow_text import WordHasher, arrow_map, text_blocks
 from reviewlake.llm.language_id import fold
 
 FEATURES = (
@@ -198,7 +198,7 @@ def features(df: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFr
             x = np.concatenate(found) if found else np.zeros((0, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(x), pa.list_(pa.float64()))], names=[*keep, "x"])
 
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([*fields, "x array<double>"]))
+    return arrow_map(df.select(*keep, F.col(text).alias("_text")), run, ", ".join([*fields, "x array<double>"]))
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -234,7 +234,7 @@ def score(df: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text"
             yield pa.RecordBatch.from_arrays([*columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=[*keep, *out])
 
     rows = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(run, ", ".join([*fields, f"`{out[0]}` double", f"`{out[1]}` int"]))
+    return arrow_map(rows, run, ", ".join([*fields, f"`{out[0]}` double", f"`{out[1]}` int"]))
 
 
 def op7_additive_quality(spark, sf_dir: str) -> DataFrame:

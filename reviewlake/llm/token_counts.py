@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from reviewlake.llm.arrow_text import arrow_map
 from reviewlake.llm.token_ids import default_path, worker_encoder
 from reviewlake.session import delete_path, scratch_path
 
@@ -56,7 +57,7 @@ def write_token_files(df: DataFrame, folder: str, key: str = "doc_id", text: str
                 ordinal += n
         where.move(trial, f"{base}/{name}")
 
-    return df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text")).mapInArrow(run, "file string, ordinal long, doc_id long")
+    return arrow_map(df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text")), run, "file string, ordinal long, doc_id long")
 
 
 def blocks(spark: SparkSession, folder: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -95,7 +96,7 @@ def scan(blocks_df: DataFrame, folder: str, end_id: int = END_ID) -> DataFrame:
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds, strict=True)], names=list(rows))
 
-    return blocks_df.mapInArrow(run, "file string, block long, ends long, head long, tail long, lengths array<long>")
+    return arrow_map(blocks_df, run, "file string, block long, ends long, head long, tail long, lengths array<long>")
 
 
 def stitch(reports: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from array import array
 import numpy as np
 
 #: Words that a worker remembers in each of two generations; words that are met again move to the younger one.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 50_000
 #: ASCII punctuation, but for the apostrophe, which may begin a piece of its own ('s, 't, ...).
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Within these characters, composing changes nothing and lower-casing goes by single characters.
