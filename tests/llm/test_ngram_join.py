@@ -76,6 +76,31 @@ def test_components_match_all_pairs(spark, width, percent, short, rows):
     assert got == brute(rows, width, percent)
 
 
+def test_ranks_do_not_depend_on_the_split_and_count_all_documents(spark):
+    passage = " ".join(f"p{i}" for i in range(8))
+    rows = [(i, f"{passage} own{i} words{i} of{i} this{i} one{i}") for i in range(64)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = (ngram_join.frequency_ranks(df.repartition(n), 4, "text", 1 << 20) for n in (1, 64))
+    assert np.array_equal(one, many)
+    seen = [0] * (1 << 20)
+    hasher = WordHasher()
+    for _, t in rows:
+        data = np.frombuffer(t.encode(), np.uint8)
+        at, found = shingles(*hasher.words(data, np.array([0, len(data)]))[2:], 1, 4)
+        for x in set(found.tolist()):
+            seen[x & ((1 << 20) - 1)] += 1
+    assert max(seen) == 64
+    assert np.array_equal(one, np.minimum(255, 8 * np.log2(np.array(seen) + 1.0)).astype(np.uint8))
+
+
+def test_marks_hold_every_key_and_few_others(spark):
+    keys = np.random.default_rng(2).integers(-(1 << 62), 1 << 62, 3000)
+    bits = ngram_join._marks(spark.createDataFrame([(int(x),) for x in keys], "h long"), len(keys))
+    assert ngram_join._is_marked(keys, bits).all()
+    others = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 30000)
+    assert ngram_join._is_marked(others, bits).mean() < 0.1
+
+
 def test_odd_rows(spark, tmp_path):
     long = " ".join(f"v{i % 977}" for i in range(60000))
     rows = [(9, "One two three"), (4, "one  TWO\tthree"), (7, None), (8, ""), (6, " \n"), (None, "one two three"), (5, "a b c d e"), (5, "q r s t u"), (3, "a b c d e"), (2, "Q r s t u"), (20, long), (21, long + " end")]
