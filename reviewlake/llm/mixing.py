@@ -15,6 +15,8 @@ from pyspark.sql import Window as W
 from reviewlake.session import checkpointed
 
 BITS, LEVELS = 12, 5
+#: Sources whose plan is broadcast, at most; beyond it both sides are joined.
+BROADCAST_ROWS = 100_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -61,20 +63,27 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...], share: float, cap:
     return at.select("source", "source_size", target.alias("target"))
 
 
+def few(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A table of one row a source, marked for broadcast only if it has at most `rows` rows."""
+    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
+
+
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """(source, threshold): the largest hash taken for each source's budget.
 
     rows: (source, size, h); budgets: (source, budget). The document where the budget ends is taken if at least half of
-    it fits. Rows of equal hash are taken together. threshold is -1 if nothing is taken.
+    it fits. Rows of equal hash are taken together. threshold is -1 if nothing is taken. Only the first level reads all
+    rows; each further one those of the bucket where a budget ends.
     """
-    state = budgets.select("source", F.col("budget").alias("_left"), F.lit(0).cast("long").alias("_prefix"))
-    done = None
+
+    def within(own: DataFrame, state: DataFrame, on) -> DataFrame:
+        return own.join(few(state), on).select(own["source"], own["size"], own["h"], "_left")
+
+    start = budgets.select("source", F.col("budget").alias("_left"))
+    at, done = within(rows, start, rows["source"].eqNullSafe(start["source"])), None
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
-        at = rows.join(state, rows["source"].eqNullSafe(state["source"]) & (F.shiftright(rows["h"], shift + BITS) == state["_prefix"])).select(
-            rows["source"], rows["size"], F.shiftright(rows["h"], shift).alias("_bucket"), "_left"
-        )
-        buckets = at.groupBy("source", "_bucket").agg(F.sum("size").alias("_n"), F.first("_left").alias("_left"))
+        buckets = at.groupBy("source", F.shiftright("h", shift).alias("_bucket")).agg(F.sum("size").alias("_n"), F.first("_left").alias("_left"))
         running = F.sum("_n").over(W.partitionBy("source").orderBy("_bucket"))
         buckets = buckets.withColumn("_upto", running)
         if level < LEVELS - 1:
@@ -83,9 +92,13 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
                 F.min_by(F.struct("_bucket", (F.col("_left") - (F.col("_upto") - F.col("_n"))).alias("_left")), F.when(F.col("_upto") > F.col("_left"), F.col("_bucket"))).alias("x"),
                 F.max("_bucket").alias("_last"),
             )
+            found = checkpointed(found)
             over = found.filter(F.col("x").isNull()).select("source", (F.shiftleft(F.col("_last") + 1, shift) - 1).alias("threshold"))
             done = over if done is None else done.unionByName(over)
-            state = checkpointed(found.filter(F.col("x").isNotNull()).select("source", F.col("x._left").alias("_left"), F.col("x._bucket").alias("_prefix")))
+            state = found.filter(F.col("x").isNotNull()).select("source", F.col("x._left").alias("_left"), F.col("x._bucket").alias("_prefix"))
+            own = at.drop("_left")
+            # Dealt anew, as most tasks have none of these rows left.
+            at = checkpointed(within(own, state, own["source"].eqNullSafe(state["source"]) & (F.shiftright(own["h"], shift) == state["_prefix"])).repartition("source", "h"))
         else:
             # One bucket is one hash now: take it if its middle lies within the budget.
             last = buckets.groupBy("source").agg(
@@ -120,20 +133,18 @@ def mix(df: DataFrame, size: Column, key: str = "doc_id", source: str = "source"
     rows = _rows(df, size, key, source)
     plans = _plans(rows, cycle, share, cap)
     more = F.when(F.col("h") <= F.col("threshold"), 1).otherwise(0).cast("long")
-    return rows.alias("r").join(plans.alias("p"), F.expr("r.source <=> p.source")).select(
+    return rows.alias("r").join(few(plans).alias("p"), F.expr("r.source <=> p.source")).select(
         F.col("key").alias(key), F.col("r.source").alias(source), "size", "source_size", "target", (F.col("size") * (F.col("times") + more)).alias("taken")
     )
 
 
-def mixed_rows(df: DataFrame, size: Column, key: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, broadcast_rows: int = 100_000) -> DataFrame:
+def mixed_rows(df: DataFrame, size: Column, key: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of df in the mix, each as often as it is taken; a filter by thresholds, so df itself is not moved.
 
     The plan, one row a source, is broadcast only if it has at most `broadcast_rows` rows; else both sides are joined.
     """
     plans = _plans(_rows(df, size, key, source), cycle, share, cap)
-    side = plans.select(F.col("source").alias("_source"), F.col("times").alias("_times"), F.col("threshold").alias("_threshold"))
-    if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        side = F.broadcast(side)
+    side = few(plans.select(F.col("source").alias("_source"), F.col("times").alias("_times"), F.col("threshold").alias("_threshold")), broadcast_rows)
     more = F.when(key_hash(df[key]) <= F.col("_threshold"), 1).otherwise(0)
     copies = F.explode(F.sequence(F.lit(1), (F.col("_times") + more).cast("int")))
     return df.join(side, df[source].eqNullSafe(F.col("_source"))).filter(F.col("_times") + more > 0).select(*[df[c] for c in df.columns], copies.alias("_copy")).select(*df.columns)
