@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 from reviewlake.llm import language_id, mixing, ngram_join, packing, quality, sharding
 from reviewlake.session import delete_path, scratch_path
 
-#: A document is rejected below these scores.
-MIN_QUALITY, MIN_LANGUAGE = 0.3, 0.3
+#: A document is rejected below this score.
+MIN_QUALITY = 0.3
 #: And below these parts of the cosine, and of its lead over the second language, that learning documents typically have.
 MIN_COSINE, MIN_LEAD = 0.25, 0.05
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the additive model, fitted on labelled ones, takes for bad."""
+    """Drops the documents that the additive model, fitted on labelled ones, takes for bad.
+
+    A null text is judged as an empty one, repeated rows alike. Without labels of both kinds all get the share of good ones.
+    """
     model = quality.learn(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score(docs, model, tuple(docs.columns), threshold=MIN_QUALITY, out=("_score", "_predicted"))
     return scored.filter("_predicted = 1").select(*docs.columns)
@@ -28,13 +31,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents without a letter, in no learned language or whose best language hardly stands out.
 
-    Documents of fewer than language_id.LEAST_TRIGRAMS trigrams are judged by the share of their best language alone.
+    Documents of fewer than language_id.LEAST_TRIGRAMS trigrams do not tell and stay if they have a letter. A null or empty
+    text goes. Repeated rows are judged alike; an empty table, or one without a language, gives an empty one.
     """
     names, prototypes = language_id.learn(docs)
     usual = language_id.typical(docs, names, prototypes)
     told = language_id.predict(docs, names, prototypes, tuple(docs.columns), out=("_lang", "_score", "_cosine", "_lead", "_n"))
     near = language_id.stands_out(usual, "_lang", "_cosine", "_lead", "_n", MIN_COSINE, MIN_LEAD)
-    return told.filter((F.col("_lang") != "und") & (F.col("_score") >= MIN_LANGUAGE) & near).select(*docs.columns)
+    return told.filter((F.col("_lang") != "und") & near).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,12 +65,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, twice where it takes them twice."""
+    """The documents that the mix takes, twice where it takes them twice.
+
+    A null source is a source of its own; a document without words has size 0 and goes with its hash; rows of equal doc_id
+    are taken alike.
+    """
     return mixing.mixed_rows(docs, mixing.words(F.col("text")))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 4096 tokens."""
+    """The pieces of all documents in sequences of at most 4096 tokens; a null or empty text is one piece, its end id."""
     return packing.pack(docs)
 
 
