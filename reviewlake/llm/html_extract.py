@@ -2,7 +2,8 @@
 
 Each page is read into a light tree. Its containers are scored by the prose they hold; the best one votes with its path of
 generalised tags and classes (digits and repeats fall away). Spark sums the votes by host and path. The path that wins on
-a host is then used on all of that host's pages; a page without it falls back to its own best container.
+a host is then used on all of that host's pages; a page without it, or with little at it against its own best container,
+falls back to that container. All work on a page is linear in its length but for stray tags of lists and tables.
 """
 
 from __future__ import annotations
@@ -33,15 +34,18 @@ MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer foot sidebar side aside rail widget related recommended recommendations share sharing social cookie cookies consent notice notices alert popup modal overlay subscribe subscription newsletter signup login search comment comments respond reply replies disqus discussion feedback tags pagination pager copyright legal disclaimer toolbar contentinfo complementary hidden print skip gdpr paywall toc".split()
 )
 #: Before or behind a marked word of the same name, these say that the element itself is something else.
-UNMARKED_BEHIND = frozenset("no not has have with without overflow".split())
-UNMARKED_BEFORE = frozenset("open closed off none disabled enabled".split())
+UNMARKED_BEHIND = frozenset("no not has have with without overflow before after".split())
+UNMARKED_BEFORE = frozenset("open closed off none disabled enabled friendly".split())
 #: Never dropped for a word.
 WHOLE = frozenset("html body article main".split())
 #: A container with this part of a page's prose is not dropped for a word, unless the word says that readers wrote it.
 MOST = 0.75
 READERS = frozenset("comment comments respond reply replies disqus discussion feedback".split())
+#: The winning path is left for a page's own best container if it holds less than this part of that one's prose.
+LEAST = 0.2
+#: Quotes count only behind an equals sign; a stray one is part of a name.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -67,7 +71,7 @@ def _marks(name: str) -> int:
     """Whether a single class, id or role marks its element: 2 if as what readers wrote, 1 if as anything else."""
     found = WORD.findall(CAMEL.sub("-", name).lower())
     for i, w in enumerate(found):
-        if w in MARKED and not (i and found[i - 1] in UNMARKED_BEHIND) and not (i + 1 < len(found) and found[i + 1] in UNMARKED_BEFORE):
+        if w in MARKED and not UNMARKED_BEHIND.intersection(found[:i]) and not (i + 1 < len(found) and found[i + 1] in UNMARKED_BEFORE):
             return 2 if w in READERS else 1
     return 0
 
@@ -93,31 +97,60 @@ def _described(tag: str, attributes: str) -> tuple[str, int, bool]:
 
 
 def _keep_most(root: Node) -> None:
-    """Takes back the drop of containers that were marked by a word but hold MOST of the page's prose outside links."""
+    """Takes back the drop of elements that were marked but hold what the page is about.
+
+    That is MOST of the page's prose outside links (for a form, MOST beside what nothing marks), or the article (or main)
+    that has more prose than any other one. What a word marks as written by readers stays dropped.
+    """
     prose: dict[int, int] = {}
-    order, stack = [], [root]
+    order, stack, top = [], [root], []
     while stack:
         node = stack.pop()
         order.append(node)
         prose[id(node)] = 0 if node.tag == "a" else sum(len(c) for c in node.children if isinstance(c, str) and not c.isspace())
         if node.tag != "a":
-            stack.extend(c for c in node.children if not isinstance(c, str) and (not c.dropped or c.marked))
+            stack.extend(c for c in node.children if not isinstance(c, str) and (not c.dropped or c.marked == 1))
     for node in reversed(order):
         if node is not root:
             prose[id(node.parent)] += prose[id(node)]
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.dropped:
+            top.append(node)
+        else:
+            stack.extend(c for c in node.children if not isinstance(c, str) and id(c) in prose)
+    plain = prose[id(root)] - sum(prose[id(node)] for node in top)
     for node in order:
-        if node.marked == 1 and node.tag in CONTAINERS and prose[id(node)] > 0 and prose[id(node)] >= MOST * prose[id(root)]:
+        n = prose[id(node)]
+        if node.marked == 1 and n > 0 and (node.tag in CONTAINERS and n >= MOST * prose[id(root)] or node.tag == "form" and n >= MOST * (plain + n)):
             node.dropped = False
+    articles = [node for node in order if node.tag in ("article", "main") and prose[id(node)] > 0]
+    if articles:
+        node = max(articles, key=lambda x: prose[id(x)])
+        while node is not root:
+            node.dropped, node = node.dropped and node.marked != 1, node.parent
 
 
 def parse(page: str, words: bool = True) -> Node:
     """A light tree: nodes and texts. Mends left-out end tags of p, li, dt, dd and table parts; a stray end tag is ignored.
 
-    Without `words` no element is dropped for its class, id or role.
+    Without `words` no element is dropped for its class, id or role. The header of an article or main is part of it. A
+    form is dropped, as an element that a word marks, unless it holds what the page is about.
     """
     root, some = Node("#root", "", False, None), False
     at, pos, lower = root, 0, None
     end = len(page)
+    # How many elements of each name are open, so that no search for one goes up in vain.
+    names: dict[str, int] = {}
+
+    def close_to(node: Node) -> Node:
+        up = at
+        while up is not node:
+            names[up.tag] -= 1
+            up = up.parent
+        return node
+
     while pos < end:
         m = TOKEN.search(page, pos)
         if m is None:
@@ -130,37 +163,40 @@ def parse(page: str, words: bool = True) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" or tag in BLOCKS or tag in DROPPED or tag not in VOID:
+            if names.get(tag) and tag not in VOID:
                 up = at
-                while up is not root and up.tag != tag:
+                while up.tag != tag:
                     # An inline end tag does not reach across a block.
                     if tag not in BLOCKS and tag not in DROPPED and up.tag in BLOCKS:
                         up = root
                         break
                     up = up.parent
                 if up is not root:
-                    at = up.parent
+                    at = close_to(up.parent)
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and names.get("p"):
             up = at
             while up is not root and up.tag != "p" and up.tag not in BLOCKS:
                 up = up.parent
             if up.tag == "p":
-                at = up.parent
-        if tag in ENDS:
-            names, scope = ENDS[tag]
+                at = close_to(up.parent)
+        if tag in ENDS and any(names.get(x) for x in ENDS[tag][0]):
+            ends, scope = ENDS[tag]
             up, ended = at, None
             while up is not root and up.tag not in scope:
-                if up.tag in names:
+                if up.tag in ends:
                     ended = up
                 up = up.parent
             if ended is not None:
-                at = ended.parent
+                at = close_to(ended.parent)
         step, marked, hidden = _described(tag, m[3])
-        gone = hidden and tag not in ("html", "body") or tag in DROPPED
-        # Marked: dropped for a word alone.
-        if not words or tag in WHOLE or gone:
+        own_header = tag == "header" and (names.get("article") or names.get("main"))
+        gone = hidden and tag not in ("html", "body") or tag in DROPPED and tag != "form" and not own_header
+        # Marked: dropped for a word alone, or as a form.
+        if not words or tag in WHOLE or gone or own_header:
             marked = 0
+        if tag == "form" and not gone:
+            marked = max(marked, 1)
         some = some or marked == 1
         node = Node(tag, step, gone or marked > 0, at, marked)
         at.children.append(node)
@@ -176,6 +212,7 @@ def parse(page: str, words: bool = True) -> Node:
                 close = page.find(">", stop)
                 pos = end if close < 0 else close + 1
             continue
+        names[tag] = names.get(tag, 0) + 1
         at = node
     if some:
         _keep_most(root)
@@ -236,34 +273,37 @@ def containers(root: Node) -> list[tuple[Node, float]]:
     A text counts its characters, negative if they are in a link, for its nearest container in full and for each of the
     three above by half as much as for the one below; article and main count half more.
     """
-    scores: dict[int, list] = {}
-    stack = [(root, iter(root.children), False)]
-    chars: dict[int, list] = {}
+    chars: dict[int, float] = {id(root): 0.0}
+    above: dict[int, Node | None] = {id(root): None}
+    order = [root]
+    stack = [(iter(root.children), False, root)]
     while stack:
-        node, rest, linked = stack[-1]
+        rest, linked, own = stack[-1]
         for child in rest:
             if isinstance(child, str):
-                if child.isspace():
-                    continue
-                n = len(child)
-                up = node
-                while up is not root and up.tag not in CONTAINERS:
-                    up = up.parent
-                own = chars.setdefault(id(up), [up, 0.0])
-                own[1] += -n if linked else n
+                if not child.isspace():
+                    chars[id(own)] += -len(child) if linked else len(child)
             elif not child.dropped and child.tag != "br":
-                stack.append((child, iter(child.children), linked or child.tag == "a"))
+                inner = own
+                if child.tag in CONTAINERS:
+                    inner = child
+                    chars[id(child)], above[id(child)] = 0.0, own
+                    order.append(child)
+                stack.append((iter(child.children), linked or child.tag == "a", inner))
                 break
         else:
             stack.pop()
-    for node, n in list(chars.values()):
-        weight, level, up = 1.0, 0, node
-        while up is not None and level < 4:
-            if up.tag in CONTAINERS or up is root:
-                scores.setdefault(id(up), [up, 0.0])[1] += n * weight
-                weight, level = weight / 2, level + 1
-            up = up.parent
-    return [(node, s * (1.5 if node.tag in ("article", "main") else 0.8 if node.tag in ("body", "#root") else 1.0)) for node, s in scores.values()]
+    scores: dict[int, float] = {}
+    for node in order:
+        n, weight, up = chars[id(node)], 1.0, node
+        if n:
+            for _ in range(4):
+                if up is None:
+                    break
+                scores[id(up)] = scores.get(id(up), 0.0) + n * weight
+                weight, up = weight / 2, above[id(up)]
+    factor = {"article": 1.5, "main": 1.5, "body": 0.8, "#root": 0.8}
+    return [(node, scores[id(node)] * factor.get(node.tag, 1.0)) for node in order if id(node) in scores]
 
 
 def best_container(root: Node) -> Node:
@@ -275,29 +315,37 @@ def best_container(root: Node) -> Node:
 
 def find_path(root: Node, path: str) -> list[Node]:
     """The outermost nodes with a generalised path, in page order, dropped elements left out."""
-    out, stack = [], [root]
+    steps = path.split(">")
+    out, stack = [], [(root, 0)]
     while stack:
-        node = stack.pop()
-        if node is not root and node.tag in CONTAINERS and path_of(node) == path:
-            out.append(node)
-            continue
-        stack.extend(c for c in reversed(node.children) if not isinstance(c, str) and not c.dropped and c.tag != "br")
+        node, k = stack.pop()
+        for child in reversed(node.children):
+            if isinstance(child, str) or child.dropped or child.tag == "br":
+                continue
+            if child.tag in ("html", "body"):
+                # No step of what is below them, and a path of their own.
+                stack.append((child, -1 if k == len(steps) - 1 and steps[k] == child.step else k))
+            elif k < len(steps) and steps[k] == child.step:
+                stack.append((child, -1 if k + 1 == len(steps) and child.tag in CONTAINERS else k + 1))
+        while stack and stack[-1][1] == -1:
+            out.append(stack.pop()[0])
     return out
 
 
 def extract(page: str | None, path: str | None) -> str:
     """The main text of one page, by its host's winning path or else its own best container.
 
-    If nothing is left, the page is read again and no element dropped for a word.
+    The own container also stands in where the path holds less than LEAST of its prose. If nothing is left, the page is read
+    again and no element dropped for a word.
     """
     if not page:
         return ""
     for words in (True, False):
         root = parse(page, words)
-        found = find_path(root, path) if path else []
-        texts = [b for node in found for b in blocks(node)]
-        if not texts:
-            texts = blocks(best_container(root))
+        texts = [b for node in (find_path(root, path) if path else []) for b in blocks(node)]
+        own = blocks(best_container(root))
+        if sum(map(len, texts)) < LEAST * sum(map(len, own)) or not texts:
+            texts = own
         if texts:
             break
     return "\n\n".join(texts)
@@ -341,8 +389,10 @@ def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 def extract_pages(pages: DataFrame, keep: tuple[str, ...], url: str = "url", html: str = "html", broadcast_rows: int = 20_000) -> DataFrame:
     """pages[keep] with text, the main text of each whole page, and n_chars, its code points.
 
-    A null or empty page gives an empty text. A page whose URL has no host uses its own best container. The table of
-    winning paths is broadcast only if it has at most `broadcast_rows` rows; else both sides are joined by host.
+    A null or empty page gives an empty text. A page whose URL has no host uses its own best container. Repeated rows are
+    read each and vote each; an empty table gives an empty one; columns of pages that are named as the results are not
+    read. The table of winning paths is broadcast only if it has at most `broadcast_rows` rows; else both sides are joined
+    by host, which Spark splits where one host has a large part of all pages.
     """
     winners = checkpointed(winning_paths(pages, url, html))
     few = winners.limit(broadcast_rows + 1).count() <= broadcast_rows
