@@ -121,11 +121,20 @@ def _keep_most(root: Node) -> None:
         else:
             stack.extend(c for c in node.children if not isinstance(c, str) and id(c) in prose)
     plain = prose[id(root)] - sum(prose[id(node)] for node in top)
-    for node in order:
+    articles = [node for node in order if node.tag in ("article", "main") and prose[id(node)] > 0]
+
+    def free(node):
+        while node is not root:
+            if node.dropped:
+                return False
+            node = node.parent
+        return True
+
+    # With an article outside of all that is marked there is nothing to take back for its size.
+    for node in [] if any(map(free, articles)) else order:
         n = prose[id(node)]
         if node.marked == 1 and n > 0 and (node.tag in CONTAINERS and n >= MOST * prose[id(root)] or node.tag == "form" and n >= MOST * (plain + n)):
             node.dropped = False
-    articles = [node for node in order if node.tag in ("article", "main") and prose[id(node)] > 0]
     if articles:
         node = max(articles, key=lambda x: prose[id(x)])
         while node is not root:
