@@ -17,6 +17,8 @@ class LanguagePack:
     stopwords: tuple[str, ...]
     positive: tuple[str, ...]
     negative: tuple[str, ...]
+    #: Whether a word counts by its stem, as in languages that inflect by endings, or only as a whole.
+    stems: bool = False
 
 
 # The Korean words and patterns that results must agree on.
@@ -34,6 +36,7 @@ KOREAN = LanguagePack(
     stopwords=("은", "는", "이", "가", "을", "를", "에", "도", "너무", "정말", "그냥"),
     positive=("좋", "맛있", "신선", "만족", "추천", "최고"),
     negative=("나쁘", "별로", "상했", "실망", "최악", "썩"),
+    stems=True,
 )
 
 EUROPEAN = LanguagePack(
@@ -48,11 +51,14 @@ EUROPEAN = LanguagePack(
     token="[A-Za-z]{2,}",
     keyword="[a-z]{4,}",
     stopwords=("that", "with", "from", "this"),
-    positive=("the", "der", "le", "los"),
-    negative=("not", "nicht", "pas", "no"),
+    positive=("good", "great", "excellent", "fresh", "tasty", "love", "gut", "toll", "lecker", "bon", "bien", "bueno", "rico"),
+    negative=("bad", "poor", "awful", "rotten", "late", "broken", "schlecht", "faul", "mauvais", "malo", "podrido"),
 )
 
+LANGUAGES = {"korean": KOREAN, "european": EUROPEAN}
 
+
+# The numbers that results must agree on.
 @dataclass(frozen=True)
 class Settings:
     confidence: float = 0.6
@@ -61,6 +67,7 @@ class Settings:
     split_distance: float = 0.22
     split_min_length: int = 4
     split_max: int = 3
+    split_embedding: bool = True
     top_representatives: int = 3
     merge_threshold: float = 0.93
     merge_percentile: float | None = None
@@ -72,14 +79,16 @@ class Settings:
     max_local_k: int = 4
     community_rel_tau: float = 0.40
     community_alias_tau: float = 0.40
-    community_ban_mode: str = "soft"
+    community_ban_mode: str = "strict"
     community_summary_max: int = 10
     alias_query_cap: int = 32
     facet_query_cap: int = 64
+    selection_epsilon: float = 0.05
     embedding_dims: int = 64
+    embedding_model: str = "md5-hashing"
     keyword_docs: int = 50
     seed: int = 42
-    language: LanguagePack = field(default=EUROPEAN, repr=False)
+    language: LanguagePack = field(default=KOREAN, repr=False)
 
     @classmethod
     def from_env(cls, **given) -> Settings:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.config import BASES, NOISE, NOISE_OFFSET
@@ -22,6 +22,11 @@ def label_offset(label: Column, polarity: Column) -> Column:
     return base_of(polarity) + F.when(label == NOISE, F.lit(NOISE_OFFSET)).otherwise(label)
 
 
+def relabel(df: DataFrame, key: str, polarity: str) -> DataFrame:
+    """df with the labels in `key` moved to their polarity's thousand: for tables of representatives and keywords."""
+    return df.withColumn(key, label_offset(coerce_label(F.col(key)), F.col(polarity)))
+
+
 def refined_id(prefix: Column, label: Column) -> Column:
     return prefix * 1000 + F.when(label == NOISE, F.lit(NOISE_OFFSET)).otherwise(label)
 

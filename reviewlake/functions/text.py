@@ -34,6 +34,25 @@ def tokens(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({pattern})"), F.lit(1))
 
 
+def full_match(c: Column, pattern: str) -> Column:
+    """Whether the whole text matches, not only a part of it."""
+    return c.rlike(f"^(?:{pattern})$")
+
+
+def counted(found: Column) -> Column:
+    """array<struct<term, n>>: the distinct tokens of an array with their counts, by one sort and one pass."""
+
+    def runs(bound: Column) -> Column:
+        own = bound["t"]
+        new = F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: (i == 0) | (F.get(own, i) != F.get(own, i - 1)))
+        ends = lambda starts: F.transform(starts, lambda at, k: F.struct(F.get(own, at).alias("term"), (F.coalesce(F.get(starts, k + 1), F.size(own)) - at).alias("n")))
+        return F.element_at(F.transform(F.array(new), ends), 1)
+
+    none = F.array().cast("array<struct<term:string,n:int>>")
+    # Arrays of one element bind what would otherwise be worked out again for every token.
+    return F.when(F.size(found) > 0, F.element_at(F.transform(F.array(F.struct(F.sort_array(found).alias("t"))), runs), 1)).otherwise(none)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Of two token arrays as sets; 1 if both are empty."""
     union = F.size(F.array_union(a, b))
@@ -84,6 +103,8 @@ def connectives(c: Column, pack: LanguagePack) -> Column:
     """array<struct<idx int, kind string, word string>>: all occurrences by position (from 0), then by the pack's order."""
     words = [(kind, word) for kind, own in pack.connectives.items() for word in own]
     listed = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(k).alias("kind"), F.lit(w).alias("word")) for n, (k, w) in enumerate(words)])
+    # Most words are in no given sentence, and a plain search tells that without a pattern.
+    listed = F.filter(listed, lambda w: F.contains(c, w["word"]))
 
     def found(w: Column) -> Column:
         # Pieces between occurrences give their places: the length of all before, and of the words between.
@@ -115,28 +136,28 @@ def clauses(sentence: Column, settings: Settings, distance=None) -> Column:
         found = F.when((F.size(found) == 0) & (at > 0), guard).otherwise(found)
 
     def fold(s: Column, c: Column) -> Column:
-        left = strip(F.substring(sentence, s["left"] + 1, c["idx"] - s["left"]))
-        right = strip(F.substring(sentence, c["idx"] + 1, F.length(sentence)))
-        j = jaccard(F.array_distinct(tokens(left, pack.token)), F.array_distinct(tokens(right, pack.token)))
-        limit = F.when(c["kind"] == "contrast", settings.split_jaccard_contrast).otherwise(settings.split_jaccard_add)
-        differs = j <= limit
-        if distance is not None:
-            far = F.when(c["kind"] == "contrast", settings.split_distance * 0.85).otherwise(settings.split_distance)
-            differs = differs | (distance(left, right) >= far)
-        cut = (
-            (s["used"] < settings.split_max)
-            & (c["idx"] > s["left"] + 1)
-            & (F.length(left) >= settings.split_min_length)
-            & (F.length(right) >= settings.split_min_length)
-            & (c["kind"] != "conditional")
-            & differs
-        )
-        return F.when(cut, F.struct(c["idx"].alias("left"), (s["used"] + 1).alias("used"), F.concat(s["parts"], F.array(left)).alias("parts"))).otherwise(s)
+        def judged(sides: Column) -> Column:
+            left, right = sides["l"], sides["r"]
+            j = jaccard(F.array_distinct(tokens(left, pack.token)), F.array_distinct(tokens(right, pack.token)))
+            limit = F.when(c["kind"] == "contrast", settings.split_jaccard_contrast).otherwise(settings.split_jaccard_add)
+            differs = j <= limit
+            if distance is not None:
+                far = F.when(c["kind"] == "contrast", settings.split_distance * 0.85).otherwise(settings.split_distance)
+                differs = differs | (distance(left, right) >= far)
+            cut = (F.length(left) >= settings.split_min_length) & (F.length(right) >= settings.split_min_length) & differs
+            return F.when(cut, F.struct(c["idx"].alias("left"), (s["used"] + 1).alias("used"), F.concat(s["parts"], F.array(left)).alias("parts"))).otherwise(s)
+
+        # An array of one element binds both sides, which would otherwise be cut out anew wherever they are named.
+        sides = F.struct(strip(F.substring(sentence, s["left"] + 1, c["idx"] - s["left"])).alias("l"), strip(F.substring(sentence, c["idx"] + 1, F.length(sentence))).alias("r"))
+        may = (s["used"] < settings.split_max) & (c["idx"] > s["left"] + 1) & (c["kind"] != "conditional")
+        return F.when(may, F.element_at(F.transform(F.array(sides), judged), 1)).otherwise(s)
 
     start = F.struct(F.lit(0).alias("left"), F.lit(0).alias("used"), F.array().cast("array<string>").alias("parts"))
-    return F.aggregate(
-        found, start, fold, lambda s: F.filter(F.concat(s["parts"], F.array(strip(F.substring(sentence, s["left"] + 1, F.length(sentence))))), lambda p: p != "")
+    whole = F.filter(F.array(strip(sentence)), lambda p: p != "")
+    cut = lambda own: F.aggregate(
+        own, start, fold, lambda s: F.filter(F.concat(s["parts"], F.array(strip(F.substring(sentence, s["left"] + 1, F.length(sentence))))), lambda p: p != "")
     )
+    return F.element_at(F.transform(F.array(found), lambda own: F.when(F.size(own) == 0, whole).otherwise(cut(own))), 1)
 
 
 def post_id(product: Column, link: Column, title: Column) -> Column:

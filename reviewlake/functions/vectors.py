@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,7 +35,8 @@ def euclid(a: Column, b: Column) -> Column:
 def hash_embed(tokens: Column, dims: int) -> Column:
     """A vector of length 1 from token counts by bucket of the token's MD5; zeros without tokens."""
     def vector(buckets: Column) -> Column:
-        counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("double"))
+        # What removing a bucket takes away is its count: a plain loop over integers, without a lambda for each of them.
+        counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: (F.size(buckets) - F.size(F.array_remove(buckets, i))).cast("double"))
 
         def scaled(c: Column) -> Column:
             n = F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x))
@@ -42,3 +47,16 @@ def hash_embed(tokens: Column, dims: int) -> Column:
     # Arrays of one element bind what would otherwise be worked out again for every component.
     buckets = F.transform(tokens, lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"), F.lit(dims)).cast("int"))
     return F.element_at(F.transform(F.array(buckets), vector), 1)
+
+
+def hash_embed_text(text: str, pattern: str, dims: int) -> list[float]:
+    """The vector of a single text, worked out on the driver: for queries, which are then literals of the plan."""
+    counts = [0.0] * dims
+    for t in re.findall(pattern, text):
+        counts[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dims] += 1.0
+    n = math.sqrt(sum(x * x for x in counts))
+    return [x / n for x in counts] if n else counts
+
+
+def literal(v: list[float]) -> Column:
+    return F.array(*map(F.lit, map(float, v)))

@@ -11,13 +11,18 @@ from reviewlake.functions import text as T
 from reviewlake.functions import vectors as V
 from reviewlake.functions.labels import polarity_prefix
 from reviewlake.operators.graph import connected_components
+from reviewlake.operators.preprocess import numbered
+from reviewlake.session import checkpointed, small
 
 
 def centroids(df: DataFrame, cluster: str, vector: str, unit: bool = False) -> DataFrame:
-    """(cluster, centroid, n): the mean vector of each cluster but noise, by sums that tasks make first."""
-    parts = df.filter(F.col(cluster) != NOISE).select(cluster, F.posexplode(vector).alias("_i", "_x")).groupBy(cluster, "_i")
-    means = parts.agg(F.avg(F.col("_x").cast("double")).alias("_m"), F.count("*").alias("_n"))
-    out = means.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda s: s["_m"]).alias("centroid"), F.max("_n").alias("n"))
+    """(cluster, centroid, n): the mean vector of each cluster but noise, by vectors of sums that tasks make first."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    rows = df.filter(F.col(cluster) != NOISE).select(cluster, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("_v"))
+    means = rows.groupBy(cluster).agg(Summarizer.mean(F.col("_v")).alias("_m"), F.count("*").alias("n"))
+    out = means.select(cluster, vector_to_array("_m").alias("centroid"), "n")
     return out.withColumn("centroid", V.normalize(F.col("centroid"))) if unit else out
 
 
@@ -46,20 +51,27 @@ def dynamic_threshold(sims: DataFrame, percent: float, sim: str = "sim") -> Data
 def merge_map(items: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     """(old, new): clusters linked by pairs get one new label; new labels count components by first appearance."""
     placed = connected_components(pairs, "cid1", "cid2")
-    both = items.select(F.col(key).alias("old")).join(placed, F.col("old") == F.col("node"), "left").withColumn("root", F.coalesce("component", "old"))
-    return both.select("old", (F.dense_rank().over(W.orderBy("root")) - 1).alias("new"))
+    both = checkpointed(items.select(F.col(key).alias("old")).join(placed, F.col("old") == F.col("node"), "left").select("old", F.coalesce("component", "old").alias("root")))
+    # Roots are numbered range by range, not in one task.
+    numbers = numbered(both.select("root").distinct(), "root", "new").withColumn("new", F.col("new").cast("int"))
+    return both.join(numbers, "root").select("old", "new")
 
 
 def apply_map(df: DataFrame, label: str, mapping: DataFrame) -> DataFrame:
     """Labels that the map does not hold keep their value."""
-    return df.join(F.broadcast(mapping), df[label] == mapping["old"], "left").withColumn(label, F.coalesce("new", label)).drop("old", "new")
+    return df.join(small(mapping), df[label] == mapping["old"], "left").withColumn(label, F.coalesce("new", label)).drop("old", "new")
 
 
 def merged_reps(reps: DataFrame, mapping: DataFrame, key: str, values: str) -> DataFrame:
-    """(new, values): the distinct representatives of merged clusters, in order of first appearance."""
+    """(new, values): the distinct representatives of merged clusters, in order of first appearance.
+
+    Each value is reduced to its first place before a cluster's values are gathered. A cluster without any has an empty list.
+    """
     joined = reps.join(mapping, reps[key] == mapping["old"])
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("old", values))), lambda x: x[values])
-    return joined.groupBy("new").agg(F.array_distinct(F.flatten(listed)).alias(values))
+    flat = joined.select("new", "old", F.posexplode_outer(values).alias("_i", "_x"))
+    first = flat.groupBy("new", "_x").agg(F.min(F.struct("old", "_i")).alias("_o"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_o._i").isNotNull(), F.struct("_o", "_x"))))
+    return first.groupBy("new").agg(F.transform(listed, lambda x: x["_x"]).alias(values))
 
 
 def facet_routing(df: DataFrame, key: str, vector: str, facets: DataFrame, top_k: int, threshold: float) -> DataFrame:
@@ -88,8 +100,8 @@ def silhouette_cosine(df: DataFrame, key: str, label: str, vector: str) -> DataF
     For unit vectors the mean of 1 - x.y over a label is 1 - x.(sum of y) / n. Labels are few, so their sums are one row.
     """
     unit = df.filter(F.col(label) != NOISE).select(key, label, V.normalize(F.col(vector)).alias("_v"))
-    parts = unit.select(label, F.posexplode("_v").alias("_i", "_x")).groupBy(label, "_i").agg(F.sum("_x").alias("_s"), F.count("*").alias("_n"))
-    sums = parts.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_s"))), lambda s: s["_s"]).alias("s"), F.max("_n").alias("n"))
+    means = centroids(unit, label, "_v")
+    sums = means.select(label, F.transform("centroid", lambda x: x * F.col("n")).alias("s"), "n")
     listed = sums.agg(F.collect_list(F.struct(F.col(label).alias("l"), "s", "n")).alias("_all"))
     far = unit.crossJoin(F.broadcast(listed))
     own = F.element_at(F.filter("_all", lambda c: c["l"] == F.col(label)), 1)
@@ -133,6 +145,9 @@ def stable_ids(clusters: DataFrame, cluster: str, sig: str, state: DataFrame | N
     an id. state: (sig, stable_id) of earlier runs, whose largest ids go on as counters unless counters are given.
     """
     spark = clusters.sparkSession
+    if state is not None and counters is None:
+        used = state.groupBy(F.floor(F.col("stable_id") / 1000).cast("int").alias("p")).agg(F.max(F.pmod("stable_id", F.lit(1000))).alias("n")).collect()
+        counters = {0: 1000, 1: 1000, 2: 1000} | {r["p"]: 1000 + r["n"] for r in used}
     state = state if state is not None else spark.createDataFrame([], "sig string, stable_id long")
     c = F.col(cluster)
     noise = F.pmod(c, F.lit(1000)) == 999
@@ -148,8 +163,11 @@ def stable_ids(clusters: DataFrame, cluster: str, sig: str, state: DataFrame | N
     return placed.unionByName(clusters.filter(noise).select(c.cast("long").alias(cluster), F.col(sig).alias("sig"), c.cast("long").alias("stable_id")))
 
 
-def tuner_params(df: DataFrame, n: Column, bucket: Column) -> DataFrame:
-    """df with the parameters of reduction and clustering by the number of rows; halves round to even."""
+def tuner_params(df: DataFrame, n: Column, bucket: Column, epsilon: float = 0.05) -> DataFrame:
+    """df with the parameters of reduction and clustering by the number of rows; halves round to even.
+
+    A bucket, one of several datasets of a product, gets larger ones. min_dist is for reducers that take one.
+    """
     pct = F.when(n < 6000, 0.010).otherwise(0.005)
     share = F.bround(n * pct, 0).cast("int")
     near = F.greatest(F.lit(5), F.least(F.lit(100), share))
@@ -162,6 +180,8 @@ def tuner_params(df: DataFrame, n: Column, bucket: Column) -> DataFrame:
         F.when(n < 500, 8).when(n < 2000, 10).when(n < 8000, 12).when(n < 16000, 13).otherwise(14).alias("n_components"),
         grown(size, 1.35).alias("min_cluster_size"),
         grown(samples, 1.15).alias("min_samples"),
+        F.when(bucket, 0.08).otherwise(0.05).alias("min_dist"),
+        F.when(bucket, epsilon + 0.02).otherwise(epsilon).alias("epsilon"),
     )
 
 

@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.config import NOISE
+from reviewlake.functions import vectors as V
+from reviewlake.session import checkpointed, small
 
-#: Rows of one group that fit a task as a matrix of distances.
+#: Rows of a group that models are fitted on, at most: those of the smallest hashes of a larger group.
 MAX_GROUP = 20_000
+#: Rows whose distances to all others are held at once.
+BLOCK = 256
 
 
 def _distances(x: np.ndarray) -> np.ndarray:
@@ -17,15 +21,30 @@ def _distances(x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sq[:, None] + sq[None, :] - 2 * x @ x.T, 0))
 
 
-def spanning_tree(w: np.ndarray) -> list[tuple[float, int, int]]:
-    """Edges of a minimum spanning tree of a full matrix of weights, ascending."""
-    n = len(w)
+def _row(x: np.ndarray, sq: np.ndarray, at: int) -> np.ndarray:
+    return np.sqrt(np.maximum(sq + sq[at] - 2 * x @ x[at], 0))
+
+
+def core_distances(x: np.ndarray, min_samples: int) -> np.ndarray:
+    """The distance of each row to its min_samples-th other row, block by block."""
+    k, sq = min(min_samples, len(x) - 1), (x * x).sum(axis=1)
+    out = np.empty(len(x))
+    for a in range(0, len(x), BLOCK):
+        d = np.maximum(sq[a : a + BLOCK, None] + sq[None, :] - 2 * x[a : a + BLOCK] @ x.T, 0)
+        d[np.arange(len(d)), np.arange(a, a + len(d))] = 0
+        out[a : a + BLOCK] = np.sqrt(np.partition(d, k, axis=1)[:, k])
+    return out
+
+
+def spanning_tree(n: int, weights) -> list[tuple[float, int, int]]:
+    """Edges of a minimum spanning tree, ascending; weights(i) gives a row's weights to all others, one row at a time."""
     best, parent, done = np.full(n, np.inf), np.full(n, -1), np.zeros(n, bool)
     at, edges = 0, []
     for _ in range(n - 1):
         done[at] = True
-        closer = (w[at] < best) & ~done
-        best[closer], parent[closer] = w[at][closer], at
+        w = weights(at)
+        closer = (w < best) & ~done
+        best[closer], parent[closer] = w[closer], at
         at = int(np.where(done, np.inf, best).argmin())
         edges.append((float(best[at]), int(parent[at]), at))
     return sorted(edges)
@@ -34,15 +53,13 @@ def spanning_tree(w: np.ndarray) -> list[tuple[float, int, int]]:
 def hdbscan(x: np.ndarray, min_cluster_size: int, min_samples: int, epsilon: float = 0.0) -> np.ndarray:
     """Labels by hierarchical density clustering (Campello, Moulavi and Sander 2013), -1 for noise.
 
-    The core distance is that to the min_samples-th other row. Clusters are chosen by excess of mass, the root left out;
+    The core distance is that to the min_samples-th other row. Memory grows with the rows, not with their pairs. Clusters are chosen by excess of mass, the root left out;
     a chosen cluster born below `epsilon` gives way to its first ancestor born at epsilon or above.
     """
     n = len(x)
     if n < max(2, min_cluster_size):
         return np.full(n, NOISE)
-    d = _distances(x)
-    core = np.sort(d, axis=1)[:, min(min_samples, n - 1)]
-    w = np.maximum(np.maximum(core[:, None], core[None, :]), d)
+    core, sq = core_distances(x, min_samples), (x * x).sum(axis=1)
     # Single linkage: node n + i joins two nodes at a distance.
     root, size, joins = list(range(n)), [1] * n, []
     top = list(range(n))
@@ -53,7 +70,7 @@ def hdbscan(x: np.ndarray, min_cluster_size: int, min_samples: int, epsilon: flo
             a = root[a]
         return a
 
-    for dist, a, b in spanning_tree(w):
+    for dist, a, b in spanning_tree(n, lambda i: np.maximum(np.maximum(core, core[i]), _row(x, sq, i))):
         a, b = find(a), find(b)
         joins.append((top[a], top[b], dist, size[a] + size[b]))
         root[b], size[a], top[a] = a, size[a] + size[b], n + len(joins) - 1
@@ -184,60 +201,106 @@ def best_split(x: np.ndarray, max_k: int, min_k: int = 2, seed: int = 42) -> tup
     return best
 
 
-def _grouped(df: DataFrame, group: str, key: str, vector: str, schema: str, make, max_rows: int) -> DataFrame:
-    """applyInPandas over groups of at most `max_rows` rows; a larger group is refused, not cut."""
-    largest = df.groupBy(group).count().agg(F.max("count").alias("n")).first()["n"] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group has {largest} rows, over {max_rows}: partition it further first")
-    return df.select(group, key, vector).groupBy(group).applyInPandas(make, schema)
+def _fitting(df: DataFrame, group: str, key: str, max_rows: int) -> tuple[DataFrame, int]:
+    """(df with `_fit`, whether a row is among those that its group's model is fitted on; the rows of the largest group).
+
+    All rows of a group of up to max_rows; of a larger one those whose key's hash is below its share, a bounded part.
+    """
+    sizes = checkpointed(df.groupBy(group).agg(F.count("*").alias("_n")))
+    largest = sizes.agg(F.max("_n").alias("n")).first()["n"] or 0
+    share = F.least(F.lit(1.0), F.lit(0.95 * max_rows) / F.col("_n"))
+    fit = (F.col("_n") <= max_rows) | (F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 30)) < share * (1 << 30))
+    return df.join(small(sizes), df[group].eqNullSafe(sizes[group])).select(*[df[c] for c in df.columns], "_n", fit.alias("_fit")), largest
 
 
 def cluster_groups(df: DataFrame, group: str, key: str, vector: str, min_cluster_size: int, min_samples: int, epsilon: float = 0.0, max_rows: int = MAX_GROUP) -> DataFrame:
-    """(group, key, cluster_label): density clusters of each group."""
+    """(group, key, cluster_label): density clusters of each group.
+
+    A group of up to max_rows rows is clustered exactly. Of a larger one a bounded part is, and each further row takes the
+    label of the nearest row of that part if it lies within the largest core distance of that cluster; else it is noise.
+    The part meets the further rows in portions of max_rows, so no task holds a whole large group.
+    """
     fields = dict(df.dtypes)
+    rows, largest = _fitting(df.select(group, key, vector), group, key, max_rows)
+    schema = f"`{group}` {fields[group]}, `{key}` {fields[key]}, cluster_label int"
 
     def make(pdf):
         pdf = pdf.sort_values(key)
-        pdf["cluster_label"] = hdbscan(np.array(pdf[vector].tolist(), float), min_cluster_size, min_samples, epsilon).astype("int32")
-        return pdf[[group, key, "cluster_label"]]
-
-    return _grouped(df, group, key, vector, f"`{group}` {fields[group]}, `{key}` {fields[key]}, cluster_label int", make, max_rows)
-
-
-def heterogeneity(df: DataFrame, cluster: str, key: str, vector: str, max_k: int = 4, seed: int = 42, max_rows: int = MAX_GROUP) -> DataFrame:
-    """(cluster, n, best_k, sil) of each cluster."""
+        x = np.array(pdf[vector].tolist(), float)
+        pdf["cluster_label"] = hdbscan(x, min_cluster_size, min_samples, epsilon).astype("int32")
+        pdf["core"] = core_distances(x, min_samples) if len(x) > 1 else 0.0
+        return pdf[[group, key, "cluster_label", "core", vector]]
+
+    fitted = rows.filter("_fit").groupBy(group).applyInPandas(make, f"{schema}, core double, `{vector}` {fields[vector]}")
+    if largest <= max_rows:
+        return fitted.select(group, key, "cluster_label")
+    fitted = checkpointed(fitted.join(small(rows.groupBy(group).agg(F.max("_n").alias("_n"))), group))
+    parts = F.ceil(F.col("_n") / F.lit(max_rows)).cast("int")
+    rest = rows.filter(~F.col("_fit")).withColumn("_part", F.pmod(F.xxhash64(F.col(key)), parts).cast("int"))
+    sent = fitted.filter(F.col("_n") > max_rows).withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+
+    def place(left, right):
+        x, y = np.array(left[vector].tolist(), float).reshape(len(left), -1), np.array(right[vector].tolist(), float).reshape(len(right), -1)
+        labels, out = right["cluster_label"].to_numpy(), np.full(len(left), NOISE, np.int32)
+        reach = np.zeros(labels.max(initial=-1) + 2)
+        np.maximum.at(reach, labels, right["core"].to_numpy())
+        for a in range(0, len(x) if len(y) else 0, BLOCK):
+            d = np.maximum((x[a : a + BLOCK] ** 2).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x[a : a + BLOCK] @ y.T, 0)
+            near = d.argmin(axis=1)
+            own = labels[near]
+            out[a : a + BLOCK] = np.where((own >= 0) & (np.sqrt(d[np.arange(len(d)), near]) <= reach[own]), own, NOISE)
+        left["cluster_label"] = out
+        return left[[group, key, "cluster_label"]]
+
+    placed = rest.groupBy(group, "_part").cogroup(sent.groupBy(group, "_part")).applyInPandas(place, schema)
+    return fitted.select(group, key, "cluster_label").unionByName(placed)
+
+
+def _splits(df: DataFrame, cluster: str, key: str, vector: str, max_k: int, seed: int, max_rows: int) -> DataFrame:
+    """(cluster, n, best_k, sil, centres): the best local split of each cluster, fitted on at most max_rows of its rows."""
     fields = dict(df.dtypes)
+    rows, _ = _fitting(df.select(cluster, key, vector), cluster, key, max_rows)
 
     def make(pdf):
         import pandas as pd
 
         x = np.array(pdf.sort_values(key)[vector].tolist(), float)
-        k, s, _ = best_split(x, max_k, seed=seed)
-        return pd.DataFrame({cluster: [pdf[cluster].iloc[0]], "n": [len(x)], "best_k": [k], "sil": [s]})
+        k, s, labels = best_split(x, max_k, seed=seed)
+        centres = [x[labels == c].mean(axis=0).tolist() for c in range(k)]
+        return pd.DataFrame({cluster: [pdf[cluster].iloc[0]], "n": [int(pdf["_n"].iloc[0])], "best_k": [k], "sil": [s], "centres": [centres]})
 
-    return _grouped(df, cluster, key, vector, f"`{cluster}` {fields[cluster]}, n long, best_k int, sil double", make, max_rows)
+    return rows.filter("_fit").groupBy(cluster).applyInPandas(make, f"`{cluster}` {fields[cluster]}, n long, best_k int, sil double, centres array<array<double>>")
 
 
-def refine_split(df: DataFrame, cluster: str, key: str, vector: str, min_size: int = 35, threshold: float = 0.16, max_k: int = 4, seed: int = 42, max_rows: int = MAX_GROUP) -> DataFrame:
-    """(cluster, key, refined_label): label * 10 + part for large and heterogeneous clusters, the label for others."""
-    fields = dict(df.dtypes)
+def heterogeneity(df: DataFrame, cluster: str, key: str, vector: str, max_k: int = 4, seed: int = 42, max_rows: int = MAX_GROUP) -> DataFrame:
+    """(cluster, n, best_k, sil) of each cluster; n counts all its rows."""
+    return _splits(df, cluster, key, vector, max_k, seed, max_rows).drop("centres")
 
-    def make(pdf):
-        pdf = pdf.sort_values(key)
-        label = int(pdf[cluster].iloc[0])
-        refined = np.full(len(pdf), label)
-        if label != NOISE and len(pdf) >= min_size:
-            k, s, parts = best_split(np.array(pdf[vector].tolist(), float), max_k, seed=seed)
-            if k > 1 and s >= threshold:
-                refined = label * 10 + parts
-        pdf["refined_label"] = refined.astype("int32")
-        return pdf[[cluster, key, "refined_label"]]
 
-    return _grouped(df, cluster, key, vector, f"`{cluster}` {fields[cluster]}, `{key}` {fields[key]}, refined_label int", make, max_rows)
+def refine_split(df: DataFrame, cluster: str, key: str, vector: str, min_size: int = 35, threshold: float = 0.16, max_k: int = 4, seed: int = 42, max_rows: int = MAX_GROUP) -> DataFrame:
+    """(cluster, key, refined_label): label * 10 + part for large and heterogeneous clusters, the label for others.
+
+    Centres are fitted on a bounded part of each cluster; every row then goes to the nearest centre.
+    """
+    large = df.groupBy(cluster).agg(F.count("*").alias("_c")).filter((F.col("_c") >= min_size) & (F.col(cluster) != NOISE)).select(cluster)
+    fits = _splits(df.join(small(large), cluster, "left_semi"), cluster, key, vector, max_k, seed, max_rows).filter((F.col("best_k") > 1) & (F.col("sil") >= threshold))
+    fits = checkpointed(fits.select(cluster, "centres"))
+    x = F.transform(F.col(vector), lambda v: v.cast("double"))
+    far = F.transform("centres", lambda c: V.euclid(x, c))
+    part = F.array_position(far, F.array_min(far)) - 1
+    label = F.col(cluster)
+    out = df.select(cluster, key, vector).join(small(fits), cluster, "left")
+    return out.select(cluster, key, F.when(F.col("centres").isNotNull(), label * 10 + part).otherwise(label).cast("int").alias("refined_label"))
 
 
 def reduce_pca(df: DataFrame, vector: str, k: int, output: str = "reduced") -> DataFrame:
-    """df with the first k principal components of a vector column of fixed length."""
+    """df with the first k principal components of a vector column of fixed length.
+
+    An empty table, or vectors of k components or fewer, need no reduction: `output` then holds them as they are.
+    """
+    first = df.select(vector).first()
+    if first is None or len(first[0]) <= k:
+        return df.withColumn(output, F.transform(vector, lambda x: x.cast("double")))
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 

@@ -11,10 +11,12 @@ from reviewlake.config import POLARITIES, LanguagePack, Settings
 def lexicon_polarity(clause: Column, pack: LanguagePack) -> tuple[Column, Column]:
     """(polarity, confidence) from counts of positive and negative words: the larger one wins, a tie is neutral.
 
+    Words are runs of letters and digits; they count if they are a word of the pack, or begin with one if it lists stems.
     confidence is (1 + |difference| / (1 + sum)) / 2 for a winner and 1 / (1 + sum) for a tie.
     """
     words = F.split(F.lower(clause), r"[^\p{L}\p{N}]+")
-    count = lambda own: F.size(F.filter(words, lambda w: w.isin(*own)))
+    counts = lambda own: (lambda w: w.rlike("^(" + "|".join(own) + ")")) if pack.stems else (lambda w: w.isin(*own))
+    count = lambda own: F.size(F.filter(words, counts(own)))
     p, n = count(pack.positive), count(pack.negative)
     polarity = F.when(p > n, "positive").when(n > p, "negative").otherwise("neutral")
     confidence = F.when(p == n, 1.0 / (1 + p + n)).otherwise((1 + F.abs(p - n) / (1 + p + n)) / 2)

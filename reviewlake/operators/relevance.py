@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as T
@@ -12,6 +13,16 @@ from reviewlake.functions import vectors as V
 from reviewlake.operators.preprocess import numbered
 
 
+def query_terms(df: DataFrame, term: str, order: Sequence[str], cap: int) -> DataFrame:
+    """(term, n): the first `cap` distinct non-empty terms by the order of their first rows, numbered from 1.
+
+    Each term is reduced to its first place before they are ordered, and only `cap` rows are gathered.
+    """
+    first = df.filter(F.col(term) != "").groupBy(F.col(term).alias("term")).agg(F.min(F.struct(*order)).alias("_o"))
+    few = first.orderBy("_o", "term").limit(cap)
+    return few.select("term", F.row_number().over(W.orderBy("_o", "term")).alias("n"))
+
+
 def sentence_score(s: Column) -> Column:
     marked = F.when(s.rlike("[\\[\\](){}“”\"']"), 0.05).otherwise(0.0)
     digit = F.when(s.rlike("\\p{Nd}"), 0.05).otherwise(0.0)
@@ -52,7 +63,7 @@ def max_similarity(vector: Column, queries: Sequence[str], token: str, dims: int
     """The largest dot product with the queries' vectors; 0 without queries. The list of queries is short by its cap."""
     if not queries:
         return F.lit(0.0)
-    embedded = [V.hash_embed(T.tokens(F.lit(q), token), dims) for q in queries]
+    embedded = [V.literal(V.hash_embed_text(q, token, dims)) for q in queries]
     return F.array_max(F.transform(F.array(*embedded), lambda q: V.dot(vector, q)))
 
 

@@ -91,6 +91,13 @@ def materialize_bucket(df: DataFrame) -> Column:
     return F.lit("")
 
 
+def ensure_top1(df: DataFrame) -> DataFrame:
+    """df with facet_top1: as it is, else a copy of facet_bucket, else null; and facet_topk, null where it is missing."""
+    if "facet_top1" not in df.columns:
+        df = df.withColumn("facet_top1", F.col("facet_bucket").cast("string") if "facet_bucket" in df.columns else F.lit(None).cast("string"))
+    return df if "facet_topk" in df.columns else df.withColumn("facet_topk", F.lit(None).cast("string"))
+
+
 def require_facets(df: DataFrame, facet: str) -> DataFrame:
     if df.filter(F.col(facet).isNotNull()).isEmpty():
         raise ValueError(f"no row has a value in {facet}")
@@ -108,8 +115,12 @@ def first_seen(order: str, value: str) -> Column:
 
 
 def mapping(clauses: DataFrame, order: str, columns: dict[str, str], key: str = "review_id") -> DataFrame:
-    """(key, lists): the labels of each review's clauses, by one aggregation. columns: label column to list name."""
-    return clauses.groupBy(key).agg(*[first_seen(order, c).alias(name) for c, name in columns.items()]).orderBy(key)
+    """(key, lists): the labels of each review's clauses. columns: label column to list name.
+
+    Clauses of equal labels are one row before a review's rows are gathered, so that its labels bound what is gathered.
+    """
+    once = clauses.groupBy(key, *columns).agg(F.min(order).alias("_o"))
+    return once.groupBy(key).agg(*[first_seen("_o", c).alias(name) for c, name in columns.items()]).orderBy(key)
 
 
 def reviews_sheet(reviews: DataFrame, mapped: DataFrame, lists: dict[str, str], key: str = "review_id") -> DataFrame:
@@ -141,6 +152,51 @@ def cluster_stats(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count_distinct(F.when(~noise, F.col(label))).alias("n_clusters"), F.count_if(noise).alias("n_noise"), F.count("*").alias("n_samples"))
 
 
+def cluster_quality(df: DataFrame, key: str, label: str, reduced: str, raw: str, rows: int = 20_000) -> DataFrame:
+    """One row: silhouette_umap (Euclidean, of reduced vectors), silhouette_raw (cosine), and the counts of clusters, of
+    noise and of rows used. Silhouettes are null with fewer than two clusters.
+
+    The Euclidean one compares all pairs, so beyond `rows` rows it takes the rows of the smallest hashes, `rows` at most.
+    """
+    from reviewlake.operators import clusters as C
+
+    counted = df.select(coerce_label(F.col(label)).alias(label), key, reduced, raw)
+    used = counted.filter(F.col(label) != -1)
+    counts = counted.agg(F.count_distinct(F.when(F.col(label) != -1, F.col(label))).alias("n_clusters"), F.count_if(F.col(label) == -1).alias("n_noise_or_other"), F.count_if(F.col(label) != -1).alias("n_samples_used"))
+    some = used.orderBy(F.md5(F.col(key).cast("string")), key).limit(rows)
+    euclid = C.silhouette_euclid(some, key, label, reduced, rows).agg(F.avg("sil").alias("silhouette_umap"))
+    cosine = C.silhouette_cosine(used, key, label, raw).agg(F.avg("sil").alias("silhouette_raw"))
+    enough = F.col("n_clusters") >= 2
+    both = counts.crossJoin(euclid).crossJoin(cosine)
+    return both.select(F.when(enough, F.col("silhouette_umap")).alias("silhouette_umap"), F.when(enough, F.col("silhouette_raw")).alias("silhouette_raw"), *counts.columns)
+
+
+def representatives_json(reps: DataFrame, key: str, values: str) -> DataFrame:
+    """(cluster, json): one object a cluster, {"label": number, "representatives": [...]}, the label as a whole number."""
+    label = coerce_label(F.col(key))
+    return reps.select(label.alias("cluster"), F.to_json(F.struct(label.alias("label"), F.col(values).alias("representatives"))).alias("json")).orderBy("cluster")
+
+
+def text_lists(df: DataFrame) -> DataFrame:
+    """Array columns as JSON text, as sheets hold them."""
+    return df.withColumns({f.name: F.to_json(f.name) for f in df.schema.fields if f.dataType.typeName() == "array"}) if any(f.dataType.typeName() == "array" for f in df.schema.fields) else df
+
+
+def workbook(clauses: DataFrame, mapped: DataFrame, reviews: DataFrame, meta: DataFrame | None = None, label: str = "cluster_id", key: str = "review_id") -> dict[str, DataFrame]:
+    """The sheets clauses, mapping, reviews and, if given, meta: labels are whole numbers, ids and lists are text."""
+    missing = [f"{name}.{c}" for name, df, own in (("clauses", clauses, (key, "clause", label)), ("mapping", mapped, (key,)), ("reviews", reviews, (key,))) for c in own if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    named = {"clauses": clauses.withColumn(label, coerce_label(F.col(label))), "mapping": mapped, "reviews": reviews}
+    sheets = {name: text_lists(df.withColumn(key, F.col(key).cast("string"))) for name, df in named.items()}
+    return sheets | ({"meta": text_lists(meta)} if meta is not None else {})
+
+
+def columns_lost(before: DataFrame, after: DataFrame) -> list[str]:
+    """The columns of `before` that `after` has no more, sorted: what a step has dropped."""
+    return sorted(set(before.columns) - set(after.columns))
+
+
 def clustered_reviews(reviews: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
     """Reviews with their label, named label_2 if reviews have such a column already."""
     name = f"{label}_2" if label in reviews.columns else label

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reviewlake.config import EUROPEAN, Settings
+from reviewlake.config import EUROPEAN, KOREAN, POLARITIES, LanguagePack, Settings
 from reviewlake.functions import labels as L
 from reviewlake.functions import text as T
 from reviewlake.functions import vectors as V
@@ -18,7 +19,10 @@ from reviewlake.plans import reviews as plans
 from reviewlake.session import checkpointed, table
 from reviewlake.sources import reviews as S
 
-SETTINGS = Settings()
+#: The made-up texts of the tables hold function words alone, so these stand in for words of praise and blame.
+MADE_UP = replace(EUROPEAN, positive=("the", "der", "le", "los"), negative=("not", "nicht", "pas", "no"))
+SETTINGS = Settings(language=MADE_UP)
+KO = Settings()
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 
@@ -73,7 +77,7 @@ SENTENCES = f"""sent as (
   select doc_id, source, lang, unnest(range(len(p))) as pos, unnest(p) as sentence from (select *, {_pieces('text')} as p from documents))"""
 WORDS = r"string_split_regex(lower(sentence), '[^\p{L}\p{N}]+')"
 POLARITY = f"""{SENTENCES}, counted as (
-  select *, len(list_filter({WORDS}, lambda w: w in ({_in(EUROPEAN.positive)}))) as p, len(list_filter({WORDS}, lambda w: w in ({_in(EUROPEAN.negative)}))) as n from sent),
+  select *, len(list_filter({WORDS}, lambda w: w in ({_in(MADE_UP.positive)}))) as p, len(list_filter({WORDS}, lambda w: w in ({_in(MADE_UP.negative)}))) as n from sent),
 polar as (
   select doc_id, source, lang, pos, sentence, case when p > n then 'positive' when n > p then 'negative' else 'neutral' end as polarity,
          case when p = n then 1.0::double / (1 + p + n) else (1 + abs(p - n)::double / (1 + p + n)) / 2 end as confidence from counted)"""
@@ -141,9 +145,9 @@ def normalize_columns(spark, d):
     return S.normalize_columns(raw)
 
 
-@query("select coalesce(text, text) as review, lang as product from documents")
+@query("select coalesce(case when doc_id % 3 = 0 then text end, case when doc_id % 2 = 0 then source end) as review, lang as product from documents")
 def normalize_duplicate_headers(spark, d):
-    raw = _docs(spark, d).select(F.col("text").alias("Comments"), F.col("text").alias("content"), F.col("lang").alias("product"))
+    raw = _docs(spark, d).select(F.when(F.col("doc_id") % 3 == 0, F.col("text")).alias("Comments"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("content"), F.col("lang").alias("product"))
     return S.normalize_columns(raw)
 
 
@@ -190,7 +194,7 @@ def resolve_rules(spark, d):
     return S.resolve_rules(_docs(spark, d).select(F.col("source").alias("product")).distinct(), available)
 
 
-@query()
+@query("select * from (values ('sweetness', 'Sweet ness', 'sweet taste'), ('price', 'price', 'cheap, dear'), ('size', 'size', 'about size')) t(id, name, \"desc\")")
 def facets_dim(spark, d):
     given = {"buckets": [{"id": "Sweet ness", "desc": "sweet taste"}, {"name": "price", "keywords": ["cheap", "dear"]}, {"id": "size"}]}
     return S.facets_table(spark, S.parse_facets(given))
@@ -240,18 +244,20 @@ def split_sentences_comm(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(T.community_sentences(F.col("text"))).alias("pos", "sentence"))
 
 
-LISTED = ", ".join(f"({n}, '{k}', '{w}')" for n, (k, w) in enumerate((k, w) for k, own in EUROPEAN.connectives.items() for w in own))
-FOUND = f"""words(n, kind, word) as (values {LISTED}),
-cut as (select {{key}}, {{text}} as t, n, kind, word, string_split({{text}}, word) as p from {{src}}, words where contains({{text}}, word)),
-hits as (select {{key}}, t, n, kind, word, cast(list_sum(list_transform(p[1:k], lambda x: length(x))) + (k - 1) * length(word) as int) as idx from (select *, unnest(range(1, len(p))) as k from cut))"""
+def _found(key: str, text: str, src: str, pack: LanguagePack = EUROPEAN) -> str:
+    listed = ", ".join(f"({n}, '{k}', '{w}')" for n, (k, w) in enumerate((k, w) for k, own in pack.connectives.items() for w in own))
+    return f"""words(n, kind, word) as (values {listed}),
+cut as (select {key}, {text} as t, n, kind, word, string_split({text}, word) as p from {src}, words where contains({text}, word)),
+hits as (select {key}, t, n, kind, word, cast(list_sum(list_transform(p[1:k], lambda x: length(x))) + (k - 1) * length(word) as int) as idx from (select *, unnest(range(1, len(p))) as k from cut))"""
 
 
-@query(f"with {FOUND.format(key='doc_id', text='text', src='documents')} select doc_id, idx, kind, word from hits")
+@query(f"with {_found('doc_id', 'text', 'documents')} select doc_id, idx, kind, word from hits")
 def connective_scan(spark, d):
     return _docs(spark, d).select("doc_id", F.explode(T.connectives(F.col("text"), EUROPEAN)).alias("x")).select("doc_id", "x.idx", "x.kind", "x.word")
 
 
-TOKENS = "list_distinct(regexp_extract_all({x}, '[A-Za-z]{{2,}}'))"
+def _tokens(x: str, pattern: str = EUROPEAN.token) -> str:
+    return f"list_distinct(regexp_extract_all({x}, '{pattern}'))"
 
 
 def _jaccard_sql(a: str, b: str) -> str:
@@ -259,7 +265,7 @@ def _jaccard_sql(a: str, b: str) -> str:
 
 
 @query(
-    f"""with {SENTENCES}, toks as (select doc_id, pos, {TOKENS.format(x='sentence')} as a, lead({TOKENS.format(x='sentence')}) over (partition by doc_id order by pos) as b from sent)
+    f"""with {SENTENCES}, toks as (select doc_id, pos, {_tokens('sentence')} as a, lead({_tokens('sentence')}) over (partition by doc_id order by pos) as b from sent)
     select doc_id, pos, round({_jaccard_sql('a', 'b')}, 6) as j from toks where b is not null"""
 )
 def jaccard(spark, d):
@@ -273,17 +279,26 @@ def _piece(a: str, b: str | None) -> str:
     return _strip(cut)
 
 
-@query(
-    f"""with {SENTENCES}, keyed as (select doc_id * 100000 + pos as key, sentence from sent), {FOUND.format(key='key', text='sentence', src='keyed')},
-    cands as (select key, list({{'l': idx, 'u': 0, 'parts': [kind]}} order by idx, n) as c from hits group by key),
+def _folded(pack: LanguagePack) -> str:
+    """keyed(key, sentence) to parted(key, p), p the clauses of a sentence; with an enumeration where nothing connects."""
+    left, right = _strip("sentence[acc.l + 1 : x.l]"), _strip("sentence[x.l + 1 :]")
+    guard = "" if pack.enumeration is None else f""",
+    guarded as (select key, strpos(sentence, regexp_extract(sentence, '{pack.enumeration}')) - 1 + length(regexp_extract(sentence, '{pack.enumeration}')) as idx from keyed
+      where key not in (select key from hits) and regexp_matches(sentence, '{pack.enumeration}'))"""
+    more = "" if pack.enumeration is None else " union all select key, [{'l': idx::int, 'u': 0, 'parts': ['additive']}] from guarded"
+    return f"""{_found('key', 'sentence', 'keyed', pack)}{guard},
+    cands as (select key, list({{'l': idx, 'u': 0, 'parts': [kind]}} order by idx, n) as c from hits group by key{more}),
     folded as (select e.key, sentence as s, list_reduce(coalesce(c, []), lambda acc, x:
-      case when acc.u < 3 and x.l > acc.l + 1
-        and length({_strip('sentence[acc.l + 1 : x.l]')}) >= 4 and length({_strip('sentence[x.l + 1 :]')}) >= 4 and x.parts[1] <> 'conditional'
-        and {_jaccard_sql(TOKENS.format(x=_strip('sentence[acc.l + 1 : x.l]')), TOKENS.format(x=_strip('sentence[x.l + 1 :]')))} <= case when x.parts[1] = 'contrast' then 0.40 else 0.35 end
-      then {{'l': x.l, 'u': acc.u + 1, 'parts': list_append(acc.parts, {_strip('sentence[acc.l + 1 : x.l]')})}} else acc end,
+      case when acc.u < 3 and x.l > acc.l + 1 and length({left}) >= 4 and length({right}) >= 4 and x.parts[1] <> 'conditional'
+        and {_jaccard_sql(_tokens(left, pack.token), _tokens(right, pack.token))} <= case when x.parts[1] = 'contrast' then 0.40 else 0.35 end
+      then {{'l': x.l, 'u': acc.u + 1, 'parts': list_append(acc.parts, {left})}} else acc end,
       {{'l': 0, 'u': 0, 'parts': []::varchar[]}}) as f from keyed e left join cands using (key)),
-    parted as (select key // 100000 as doc_id, key % 100000 as pos, list_filter(list_append(f.parts, {_strip('s[f.l + 1 :]')}), lambda p: p <> '') as p from folded),
-    flat as (select doc_id, pos, unnest(range(len(p))) as i, unnest(p) as clause from parted)
+    parted as (select key, list_filter(list_append(f.parts, {_strip('s[f.l + 1 :]')}), lambda p: p <> '') as p from folded)"""
+
+
+@query(
+    f"""with {SENTENCES}, keyed as (select doc_id * 100000 + pos as key, sentence from sent), {_folded(EUROPEAN)},
+    flat as (select key // 100000 as doc_id, key % 100000 as pos, unnest(range(len(p))) as i, unnest(p) as clause from parted)
     select doc_id, row_number() over (partition by doc_id order by pos, i) - 1 as clause_idx, clause from flat"""
 )
 def split_clauses(spark, d):
@@ -307,8 +322,7 @@ def lexical_bonus(spark, d):
 @query("select x as term, row_number() over (order by f) as n from (select x, min(i) as f from (select unnest(string_split(text, ' ')) as x, item_id * 100000 + unnest(range(len(string_split(text, ' ')))) as i from benchmark) where x <> '' group by x) qualify n <= 64")
 def build_queries(spark, d):
     words = table(spark, d, "benchmark").select(F.posexplode(F.split("text", " ")).alias("i", "x"), "item_id")
-    listed = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "i", "x"))), lambda s: s["x"]).alias("all"))
-    return listed.select(F.posexplode(T.build_queries_column(F.col("all"), 64)).alias("n", "term")).select("term", (F.col("n") + 1).alias("n"))
+    return relevance.query_terms(words, "x", ("item_id", "i"), 64)
 
 
 @query("select item_id, array_to_string(list_filter(string_split(text, ' '), lambda t: t <> '')[1:3], ' ') as head from benchmark")
@@ -316,6 +330,69 @@ def query_cap(spark, d):
     return table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.filter(F.split("text", " "), lambda t: t != ""), 1, 3), " ").alias("head"))
 
 
+# ---- Korean texts, as literals --------------------------------------------------------------------------------------------
+
+KOREAN_TEXTS = (
+    "맛은 정말 좋아요 하지만 배송이 느려요", "별로예요 실망했어요 썩었네요", "정말 맛있어요 신선하고 좋습니다", "맛도 좋고 향도 아주 좋아요", "비가 온다면 집에서 쉬겠어요", "그리고 하지만 그리고",
+    "가격은 비싸요 그러나 품질이 좋아서 만족합니다 그리고 포장도 깔끔했어요. 다음에도 살게요!!", "ㅋㅋㅋㅋ 최고예요!!! 추천합니다^^", "아삭한 사과 맛 하지만 배송이 느려요", "상했어요 ㅠㅠ 최악\n다시는 안 사요", "포장 상태 보통", "",
+)
+KO_TABLE = "ko as (select * from (values " + ", ".join(f"({i}, replace('{t}', '{chr(92)}n', chr(10)))" for i, t in enumerate(x.replace("\n", chr(92) + "n") for x in KOREAN_TEXTS)) + ") t(id, text))"
+KO_WORDS = r"string_split_regex(lower(text), '[^\p{L}\p{N}]+')"
+KO_COUNT = "len(list_filter({w}, lambda w: regexp_matches(w, '^({own})')))"
+
+
+def _korean(spark) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(KOREAN_TEXTS)), "id long, text string")
+
+
+@query(f"with {KO_TABLE} select id, {_clean('text')} as review from ko")
+def clean_korean(spark, d):
+    return _korean(spark).select("id", T.clean(F.col("text")).alias("review"))
+
+
+@query(
+    f"""with {KO_TABLE}, c as (select id, {KO_COUNT.format(w=KO_WORDS, own='|'.join(KOREAN.positive))} as p, {KO_COUNT.format(w=KO_WORDS, own='|'.join(KOREAN.negative))} as n from ko)
+    select id, case when p > n then 'positive' when n > p then 'negative' else 'neutral' end as polarity,
+      round(case when p = n then 1.0::double / (1 + p + n) else (1 + abs(p - n)::double / (1 + p + n)) / 2 end, 6) as confidence from c"""
+)
+def absa_korean(spark, d):
+    return polarity.classify(_korean(spark), KO, "text").select("id", "polarity", F.round("confidence", 6).alias("confidence"))
+
+
+@query(f"with {KO_TABLE}, {_found('id', 'text', 'ko', KOREAN)} select id, idx, kind, word from hits")
+def connectives_korean(spark, d):
+    return _korean(spark).select("id", F.explode(T.connectives(F.col("text"), KOREAN)).alias("x")).select("id", "x.idx", "x.kind", "x.word")
+
+
+@query(f"with {KO_TABLE}, keyed as (select id as key, text as sentence from ko), {_folded(KOREAN)} select key as id, unnest(range(len(p))) as pos, unnest(p) as clause from parted")
+def clauses_korean(spark, d):
+    return _korean(spark).select("id", F.posexplode(T.clauses(F.col("text"), KO)).alias("pos", "clause"))
+
+
+@query(f"with {KO_TABLE} select a.id, round({_jaccard_sql(_tokens('a.text', KOREAN.token), _tokens('b.text', KOREAN.token))}, 6) as j from ko a join ko b on b.id = a.id + 1")
+def jaccard_korean(spark, d):
+    tok = _korean(spark).select("id", F.array_distinct(T.tokens(F.col("text"), KOREAN.token)).alias("a"))
+    return tok.join(tok.select((F.col("id") - 1).alias("id"), F.col("a").alias("b")), "id").select("id", F.round(T.jaccard(F.col("a"), F.col("b")), 6).alias("j"))
+
+
+@query(
+    f"""with {KO_TABLE}, tok as (select id % 3 as c, id, t as term, count(*) as tf from (select *, unnest(regexp_extract_all(lower(text), '{KOREAN.keyword}')) as t from ko) where t not in ({_in(KOREAN.stopwords)}) group by all),
+    idf as (select term, ln((1.0::double + (select count(*) from ko)) / (1.0::double + count(*))) + 1 as idf from tok group by term), w as (select c, id, term, tf * idf as w from tok join idf using (term)),
+    len as (select id, sqrt(sum(w * w)) as l from w group by id),
+    sc as (select w.c, term, sum(w / l) / any_value(nd) as score from w join len using (id) join (select id % 3 as c, count(*) as nd from ko group by 1) n on n.c = w.c group by w.c, term)
+    select c, row_number() over (partition by c order by round(score, 9) desc, term desc) as rank, term, round(score, 6) as score from sc qualify rank <= 3"""
+)
+def keywords_korean(spark, d):
+    rows = _korean(spark).withColumn("c", F.col("id") % 3)
+    return keywords.tfidf_keywords(rows, "c", "id", "text", KOREAN.keyword, KOREAN.stopwords).select("c", "rank", "term", F.round("score", 6).alias("score"))
+
+
+@query(f"with {KO_TABLE}, t as (select id, text, regexp_extract_all(text, '[가-힣]+') as w from ko) select id, word, regexp_full_match(word, '{KOREAN.keyword}') as whole from (select id, unnest(list_distinct(w)) as word from t)")
+def keyword_full_match(spark, d):
+    words = _korean(spark).select("id", F.explode(F.array_distinct(T.tokens(F.col("text"), "[가-힣]+"))).alias("word"))
+    return words.select("id", "word", T.full_match(F.col("word"), KOREAN.keyword).alias("whole"))
+
+
 # ---- polarity ----------------------------------------------------------------------------------------------------------
 
 
@@ -334,10 +411,10 @@ def polarity_filter(spark, d):
     return polarity.confident(_polar(spark, d), SETTINGS).select("doc_id", "pos", "polarity")
 
 
-@query(f"with {POLARITY} select doc_id, pos, polarity from polar where confidence >= 0.6 and polarity in ('negative', 'positive')")
+@query(f"with {POLARITY} select doc_id, pos, polarity from polar where confidence >= 0.6 and polarity in ('negative', 'neutral', 'positive')")
 def polarity_union(spark, d):
     rows = polarity.confident(_polar(spark, d), SETTINGS).select("doc_id", "pos", "polarity")
-    return S.union_tables(*[rows.filter(F.col("polarity") == p) for p in ("negative", "positive")])
+    return S.union_tables(*[rows.filter(F.col("polarity") == p) for p in POLARITIES])
 
 
 # ---- report ------------------------------------------------------------------------------------------------------------
@@ -629,42 +706,94 @@ def mutual_reach(spark, d):
     return C.mutual_reachability(v, C.knn_core_distance(v, "vec_id", "embedding", 5), "vec_id", "embedding").select("a", "b", F.round("w", 6).alias("w"))
 
 
-@query()
+BLOBS = "blobs as (select vec_id, label, row_number() over (partition by label order by vec_id) as n from embeddings)"
+
+
+def _blobs(spark, d, apart: float = 0.0) -> DataFrame:
+    """A line of points for each label, far from those of others; with `apart` every second point lies on a second line."""
+    n = F.row_number().over(W.partitionBy("label").orderBy("vec_id"))
+    rows = _vectors(spark, d).select("vec_id", "label", n.alias("n"))
+    return rows.select("vec_id", "label", F.lit(0).alias("all"), F.array(F.col("label") * 1000.0, F.col("n") * 0.01 + (F.col("n") % 2) * F.lit(apart)).alias("v"))
+
+
+@query(f"with {BLOBS} select vec_id, case when count(*) over (partition by label) >= 20 then min(vec_id) over (partition by label) end as first from blobs")
 def hdbscan(spark, d):
-    return density.cluster_groups(_vectors(spark, d), "label", "vec_id", "embedding", 5, 3)
+    """Lines of equal steps are a cluster each, so a row is told by its cluster's first one; noise has none."""
+    told = checkpointed(density.cluster_groups(_blobs(spark, d), "all", "vec_id", "v", 20, 3, 0.05))
+    first = told.filter("cluster_label >= 0").groupBy("cluster_label").agg(F.min("vec_id").alias("first"))
+    return told.join(first, "cluster_label", "left").select("vec_id", "first")
 
 
-@query()
+@query("select vec_id, round(5 * abs(vec_id % 100 - 50)::double, 6) as reduced from embeddings")
 def reduce_pca(spark, d):
-    return density.reduce_pca(_vectors(spark, d), "embedding", 8).select("vec_id", "reduced")
+    """Rows on one line through (3, 0, 4): the only component is five times the step, up to its sign."""
+    x = (F.col("vec_id") % 100 - 50).cast("double")
+    rows = _vectors(spark, d).select("vec_id", F.array(x * 3, F.lit(0.0), x * 4).alias("v"))
+    return density.reduce_pca(rows, "v", 1).select("vec_id", F.round(F.abs(F.get("reduced", 0)), 6).alias("reduced"))
 
 
-@query()
+TWO_LINES = f"{BLOBS}, two as (select *, n * 0.01 + (n % 2) * 50 as y, n % 2 as half, count(*) over (partition by label) as size from blobs)"
+
+
+@query(
+    f"""with {TWO_LINES}, m as (select a.vec_id, a.label, a.half, b.half as o, avg(abs(a.y - b.y)) as d from two a join two b on a.label = b.label and a.vec_id <> b.vec_id group by all),
+    ab as (select vec_id, label, max(case when half = o then d end) as a, min(case when half <> o then d end) as b from m group by all),
+    s as (select label, avg((b - a) / greatest(a, b)) as sil from ab group by label)
+    select label, size as n, case when size >= 8 then 2 else 1 end as best_k, round(case when size >= 8 then sil else 0 end, 6) as sil from (select distinct label, size from two) join s using (label)"""
+)
 def heterogeneity(spark, d):
-    return density.heterogeneity(_vectors(spark, d), "label", "vec_id", "embedding")
+    return density.heterogeneity(_blobs(spark, d, 50.0), "label", "vec_id", "v").withColumn("sil", F.round("sil", 6))
 
 
-@query()
+@query(f"with {TWO_LINES} select label, min(vec_id) as first, count(*) as n, size >= 35 as split from two group by label, size, case when size >= 35 then half end")
 def refine_split(spark, d):
-    return density.refine_split(_vectors(spark, d), "label", "vec_id", "embedding", threshold=0.01)
+    """Which half gets which number is the seed's choice, so parts are told by their first row."""
+    out = density.refine_split(_blobs(spark, d, 50.0), "label", "vec_id", "v")
+    parts = out.groupBy("label", "refined_label").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+    return parts.select("label", "first", "n", (F.count("*").over(W.partitionBy("label")) > 1).alias("split"))
 
 
-@query()
+@query(
+    f"""with {TWO_LINES}, {ROUTED}, top as (select vec_id, facet_id from routed where rank = 1 and score >= 0.1)
+    select label, min(t.vec_id) as first, count(facet_id) as routed, min(facet_id) as facet, label % 7 as prefix from two t left join top using (vec_id) group by label, size, case when size >= 35 then half end"""
+)
 def refine(spark, d):
-    routed = C.facet_annotate(_vectors(spark, d), "vec_id", "embedding", _facets(spark, d), 2, 0.1)
-    split = density.refine_split(_vectors(spark, d), "label", "vec_id", "embedding", threshold=0.01).drop("label")
-    return routed.join(split, "vec_id").select("vec_id", "label", "facet_top1", "refined_label", L.refined_id(F.lit(1), F.col("refined_label")).alias("refined_cluster_id"))
+    """Facets and local splits of the same rows, and refined ids in their prefix's thousands."""
+    routed = C.facet_annotate(_vectors(spark, d), "vec_id", "embedding", _facets(spark, d), 2, 0.1).select("vec_id", "facet_top1")
+    split = density.refine_split(_blobs(spark, d, 50.0), "label", "vec_id", "v")
+    rows = routed.join(split, "vec_id").withColumn("id", L.refined_id(F.col("label") % 7, F.col("refined_label")))
+    out = rows.groupBy("label", "id").agg(F.min("vec_id").alias("first"), F.count("facet_top1").alias("routed"), F.min("facet_top1").alias("facet"), F.min("refined_label").alias("_r"))
+    return out.select("label", "first", "routed", "facet", F.floor((F.col("id") - F.col("_r")) / 1000).cast("int").alias("prefix"))
+
+
+@query(
+    f"""with s as ({_silhouette(f"1 - {_cos('a.embedding', 'b.embedding')}").replace('from embeddings a join embeddings b', 'from used a join used b').replace('with m as', 'with used as (select * from embeddings where label <> 3), m as')}),
+    e as ({_silhouette(_euclid("a.embedding", "b.embedding")).replace('from embeddings a join embeddings b', 'from used a join used b').replace('with m as', 'with used as (select * from embeddings where label <> 3), m as')})
+    select (select round(avg(sil), 4) from e) as silhouette_umap, (select round(avg(sil), 4) from s) as silhouette_raw, count(distinct case when label <> 3 then label end) as n_clusters,
+    count(*) filter (label = 3) as n_noise_or_other, count(*) filter (label <> 3) as n_samples_used from embeddings"""
+)
+def cluster_quality(spark, d):
+    rows = _vectors(spark, d).withColumn("label", F.when(F.col("label") == 3, "Other").otherwise(F.col("label").cast("string")))
+    out = report.cluster_quality(rows, "vec_id", "label", "embedding", "embedding")
+    return out.withColumn("silhouette_umap", F.round("silhouette_umap", 4)).withColumn("silhouette_raw", F.round("silhouette_raw", 4))
+
+
+@query("""select label as cluster, '{"label":' || label || ',"representatives":["v' || min(vec_id) || '"]}' as json from embeddings group by label""")
+def representatives_json(spark, d):
+    reps = _vectors(spark, d).groupBy("label").agg(F.array(F.concat(F.lit("v"), F.min("vec_id"))).alias("representatives"))
+    return report.representatives_json(reps.withColumn("label", F.concat(F.lit(" "), "label")), "label", "representatives")
 
 
 @query(
     """with n as (select source, count(*) * 37 as n from documents group by source), s as (select *, cast(round_even(n * case when n < 6000 then 0.010 else 0.005 end::double, 0) as int) as share, source in ('src0', 'src5') as bucket from n),
     t as (select *, greatest(5, least(100, share)) as near, greatest(5, share) as size, greatest(2, cast(round_even(greatest(5, share) * 0.5::double, 0) as int)) as samples from s)
     select source, n, case when bucket then cast(round_even(near * 1.15::double, 0) as int) else near end as n_neighbors, case when n < 500 then 8 when n < 2000 then 10 when n < 8000 then 12 when n < 16000 then 13 else 14 end as n_components,
-    case when bucket then cast(round_even(size * 1.35::double, 0) as int) else size end as min_cluster_size, case when bucket then cast(round_even(samples * 1.15::double, 0) as int) else samples end as min_samples from t"""
+    case when bucket then cast(round_even(size * 1.35::double, 0) as int) else size end as min_cluster_size, case when bucket then cast(round_even(samples * 1.15::double, 0) as int) else samples end as min_samples,
+    case when bucket then 0.08::double else 0.05::double end as min_dist, round(case when bucket then 0.07::double else 0.05::double end, 6) as epsilon from t"""
 )
 def tuner_params(spark, d):
     n = _docs(spark, d).groupBy("source").agg((F.count("*") * 37).alias("n"))
-    return C.tuner_params(n, F.col("n"), F.col("source").isin("src0", "src5"))
+    return C.tuner_params(n, F.col("n"), F.col("source").isin("src0", "src5")).withColumn("epsilon", F.round("epsilon", 6))
 
 
 # ---- keywords ----------------------------------------------------------------------------------------------------------

@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
         found = "file://" + tempfile.mkdtemp(prefix="reviewlake-")
     else:
-        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.conf.set("spark.checkpoint.dir", found)
     return found
 
@@ -49,7 +49,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df marked for broadcast if it has at most `rows` rows; else as it is, for Spark to join as it sees fit."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files and checkpoints that nothing refers to any more."""
+    """Lets Spark delete shuffle files that nothing refers to any more, and checkpoints too if
+    spark.cleaner.referenceTracking.cleanCheckpoints is set when the session starts; it is off by default."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()

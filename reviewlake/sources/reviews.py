@@ -104,9 +104,18 @@ def merge_all(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def read_merged(spark: SparkSession, folder: str, pattern: str = "*_clauses_clustered_*", fmt: str = "parquet") -> DataFrame:
-    """All matching files below a folder, unreadable ones skipped, with their names."""
+    """All matching files below a folder, unreadable ones skipped, with their names; of workbooks the sheet clauses.
+
+    A part file of a dataset folder goes by the folder's name.
+    """
+    if fmt == "xlsx":
+        from reviewlake.sources.xlsx import read_xlsx
+
+        return read_xlsx(spark, folder, "clauses", pattern=pattern, skip_unreadable=True)
     df = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").option("mergeSchema", "true").option("pathGlobFilter", pattern).load(folder)
-    return df.select(F.col("_metadata.file_name").alias("source_file"), "*")
+    steps = F.split(F.col("_metadata.file_path"), "/")
+    name = F.when(F.col("_metadata.file_name").startswith("part-"), F.element_at(steps, -2)).otherwise(F.col("_metadata.file_name"))
+    return df.select(name.alias("source_file"), "*")
 
 
 def discover(folder: str, pattern: str = "*.xlsx") -> list[str]:
@@ -115,13 +124,27 @@ def discover(folder: str, pattern: str = "*.xlsx") -> list[str]:
 
 
 def product_key(name: str) -> str:
-    return re.sub(r"[^a-z0-9_]", "", name.strip().lower().replace(" ", ""))
+    """The name in lower case without anything but letters of any script, digits and underscores."""
+    return "".join(c for c in name.strip().lower() if c.isalnum() or c == "_")
 
 
-def rules_for(product: str, folder: str) -> tuple[str, str]:
-    """(facets, thresholds): the product's own files if they are there, else the common ones."""
-    own = [Path(folder) / f"{kind}_{product_key(product)}.yml" for kind in ("facets", "thresholds")]
-    return tuple(str(p if p.exists() else p.with_name(kind + ".yml")) for p, kind in zip(own, ("facets", "thresholds"), strict=True))
+def discover_all(data_dir: str, pattern: str = "*.xlsx") -> tuple[list[str], list[str]]:
+    """(review files, community files) of the folders review and community below data_dir."""
+    return discover(f"{data_dir}/review", pattern), discover(f"{data_dir}/community", pattern)
+
+
+def rules_for(product: str, folder: str, facets: str | None = None, thresholds: str | None = None) -> tuple[str, str]:
+    """(facets, thresholds): the product's own files if they are there, else the given ones, else the common ones."""
+    out = []
+    for kind, given in (("facets", facets), ("thresholds", thresholds)):
+        own = Path(folder) / f"{kind}_{product_key(product)}.yml"
+        out.append(str(own) if own.exists() else given or str(own.with_name(kind + ".yml")))
+    return tuple(out)
+
+
+def with_position(df: DataFrame, name: str = "row_idx") -> DataFrame:
+    """df with the order of its rows in their files, if it has no such column: the same whenever the files are read alike."""
+    return df if name in df.columns else df.withColumn(name, F.monotonically_increasing_id())
 
 
 def resolve_rules(products: DataFrame, available: DataFrame, product: str = "product", path: str = "path") -> DataFrame:
@@ -158,6 +181,16 @@ def facets_table(spark: SparkSession, facets: Sequence[Mapping]) -> DataFrame:
     return spark.createDataFrame([(f["id"], f["name"], f["desc"]) for f in facets], "id string, name string, desc string")
 
 
+def load_facets(spark: SparkSession, path: str, embed) -> DataFrame:
+    """(id, emb) of a rule file's facets, each embedded as "id: desc" by embed(df, text); a facet without an id is refused."""
+    return facet_vectors(spark, parse_facets(load_yaml(path)), embed)
+
+
+def facet_vectors(spark: SparkSession, facets: Sequence[Mapping], embed) -> DataFrame:
+    rows = spark.createDataFrame([(f["id"], f"{f['id']}: {f['desc']}") for f in facets], "id string, _t string")
+    return embed(rows, "_t").select("id", F.col("embedding").alias("emb"))
+
+
 # Threshold names of rule files and the settings they set.
 THRESHOLDS = {"top_k_facets": "facet_top_k", "facet_threshold": "facet_threshold", "hetero_sil_threshold": "hetero_threshold", "min_cluster_size_for_split": "min_split_size", "max_local_k": "max_local_k"}
 

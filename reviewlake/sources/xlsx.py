@@ -18,6 +18,12 @@ def _column(ref: str) -> int:
     return n - 1
 
 
+def _opened(content: bytes):
+    import io
+
+    return io.BytesIO(bytes(content))
+
+
 def rows_of(content: bytes, sheet: str | None = None):
     """The rows of a sheet (the first by default) as lists of texts; missing cells are None."""
     import io
@@ -51,10 +57,26 @@ def rows_of(content: bytes, sheet: str | None = None):
         yield out
 
 
-def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """All cells as strings, under the header of the first file's first row; files are read by the executors."""
-    files = spark.read.format("binaryFile").load(path)
-    first = files.orderBy("path").select("content").first()
+def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, pattern: str | None = None, skip_unreadable: bool = False) -> DataFrame:
+    """All cells as strings, under the header of the first file's first row; files are read by the executors.
+
+    With a pattern all matching files below the folder are read; unreadable ones can be skipped.
+    """
+    import zipfile
+
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    files = reader.load(path)
+    # Names alone are sorted; one file's content comes to the driver, for its header.
+    first = None
+    for row in files.select("path").orderBy("path").toLocalIterator():
+        found = spark.read.format("binaryFile").load(row["path"]).select("content").first()
+        if not skip_unreadable or zipfile.is_zipfile(_opened(found["content"])):
+            first = found
+            break
+    if first is None:
+        raise ValueError(f"no readable workbook in {path}")
     header = [str(c) if c is not None else f"Unnamed: {i}" for i, c in enumerate(next(iter(rows_of(bytes(first["content"]), sheet)), []))]
 
     def run(batches):
@@ -62,6 +84,8 @@ def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataF
 
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"], strict=True):
+                if skip_unreadable and not zipfile.is_zipfile(_opened(content)):
+                    continue
                 rows = rows_of(content, sheet)
                 own = [str(c) if c is not None else f"Unnamed: {i}" for i, c in enumerate(next(rows, []))]
                 at = {h: own.index(h) for h in header if h in own}

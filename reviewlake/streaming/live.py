@@ -31,9 +31,7 @@ def extend_stable_ids(batch: DataFrame, state_path: str, cluster: str, sig: str)
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         state = spark.createDataFrame([], "sig string, stable_id long")
-    used = state.groupBy(F.floor(F.col("stable_id") / 1000).cast("int").alias("p")).agg(F.max(F.pmod("stable_id", F.lit(1000))).alias("n")).collect()
-    counters = {0: 1000, 1: 1000, 2: 1000} | {r["p"]: 1000 + r["n"] for r in used}
-    ids = clusters.stable_ids(batch, cluster, sig, state, counters).persist()
+    ids = clusters.stable_ids(batch, cluster, sig, state).persist()
     new = ids.select("sig", "stable_id").distinct().filter(F.pmod("stable_id", F.lit(1000)) != 999).join(state, "sig", "left_anti")
     new.write.mode("append").parquet(state_path)
     return ids

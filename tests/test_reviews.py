@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlake.config import KOREAN, Settings
+from reviewlake.config import EUROPEAN, KOREAN, Settings
 from reviewlake.functions import labels as L
 from reviewlake.functions import text as T
 from reviewlake.functions import vectors as V
@@ -18,7 +18,10 @@ from reviewlake.plans import reviews as plans
 from reviewlake.sources import reviews as S
 from reviewlake.sources import sinks
 
-KO = replace(Settings(), language=KOREAN)
+KO = Settings()
+#: Function words stand in for praise and blame, as in the made-up tables.
+MADE_UP = replace(EUROPEAN, positive=("the", "der"), negative=("not", "nicht"))
+EN = Settings(language=MADE_UP)
 
 
 def col(spark, values, make, kind="string"):
@@ -189,12 +192,32 @@ def test_density_clusters(spark):
     k, s, _ = density.best_split(x[:100], 4)
     assert k == 2 and s > 0.8 and density.best_split(x[:5], 4)[0] == 1
     w = density._distances(x[:30])
-    assert abs(sum(e[0] for e in density.spanning_tree(w)) - _kruskal(w)) < 1e-9
+    assert abs(sum(e[0] for e in density.spanning_tree(30, lambda i: w[i])) - _kruskal(w)) < 1e-9
+    assert np.allclose(density.core_distances(x, 5), np.sort(density._distances(x), axis=1)[:, 5], atol=1e-6)
     df = spark.createDataFrame([(1, i, v.tolist()) for i, v in enumerate(x[:100])], "c int, k int, v array<double>")
     parts = density.refine_split(df, "c", "k", "v", 35, 0.16).toPandas()
     assert set(parts.refined_label) == {10, 11}
-    with pytest.raises(ValueError):
-        density.cluster_groups(df, "c", "k", "v", 5, 3, max_rows=10)
+
+
+def test_large_groups_are_labelled_whole(spark):
+    """Beyond max_rows a bounded part is fitted and every further row finds its cluster or noise; no row is lost."""
+    r = np.random.default_rng(1)
+    centres = np.array([[0, 0], [8, 0], [0, 8]])
+    x = np.vstack([r.normal(size=(300, 2)) * 0.3 + c for c in centres] + [[[40.0, 40.0]]])
+    df = spark.createDataFrame([(1, i, v.tolist()) for i, v in enumerate(x)], "c int, k int, v array<double>").repartition(4)
+    got = {t.k: t.cluster_label for t in density.cluster_groups(df, "c", "k", "v", 20, 5, max_rows=300).collect()}
+    assert len(got) == 901 and got[900] == -1
+    tops = []
+    for b in range(3):
+        own = [got[i] for i in range(300 * b, 300 * b + 300)]
+        tops.append(max(set(own), key=own.count))
+        assert own.count(tops[-1]) > 240 and tops[-1] >= 0
+    assert len(set(tops)) == 3
+    two = spark.createDataFrame([(3, i, x[i % 600].tolist()) for i in range(600)], "c int, k int, v array<double>")
+    parts = {t.k: t.refined_label for t in density.refine_split(two, "c", "k", "v", 35, 0.16, max_rows=100).collect()}
+    assert len(parts) == 600 and {parts[i] for i in range(300)} != {parts[i] for i in range(300, 600)} and set(parts.values()) == {30, 31}
+    whole = density.heterogeneity(two, "c", "k", "v", max_rows=100).first()
+    assert whole.n == 600 and whole.best_k == 2
 
 
 def _kruskal(w):
@@ -245,7 +268,7 @@ def made_reviews(spark, n=160):
 
 def test_whole_runs(spark, tmp_path):
     facets = [{"id": "taste", "name": "taste", "desc": "sweet fresh pears"}, {"id": "delivery", "name": "delivery", "desc": "late box came"}]
-    out = plans.run_reviews(made_reviews(spark), Settings(), "row_idx", facets=facets)
+    out = plans.run_reviews(made_reviews(spark), EN, "row_idx", facets=facets, min_cluster_size=20)
     told = out["clauses"].toPandas()
     assert len(told) and told.stable_cluster_id.notna().all() and set(told.polarity) <= {"negative", "positive", "neutral"}
     assert out["mapping"].count() == told.review_id.nunique() and out["reviews"].count() == 160
@@ -254,18 +277,102 @@ def test_whole_runs(spark, tmp_path):
     assert spark.read.parquet(paths["rep_summary"]).count() == out["rep_summary"].count()
     sinks.write_manifest(f"{tmp_path}/m.json", Settings(), input="x")
     assert json.loads((tmp_path / "m.json").read_text())["settings"]["confidence"] == 0.6
-    empty = plans.run_reviews(made_reviews(spark).limit(0), Settings(), "row_idx")
+    empty = plans.run_reviews(made_reviews(spark).limit(0), EN, "row_idx")
     assert empty["clauses"].count() == 0
 
 
 def test_community_run(spark):
     posts = spark.createDataFrame([("p", f"l{i}", None, f"Apple talk {i}", f"the apple is sweet {i}. nothing here {i}.", "", "apple", f"C-{i}") for i in range(8)], "platform string, link string, date string, title string, body string, summary string, product string, post_id string")
-    kept, stats, scored = plans.run_posts(posts, Settings(), ["apple"], ["sweet"], ["banned"])
+    kept, stats, scored = plans.run_posts(posts, EN, ["apple"], ["sweet"], ["banned"])
     assert scored.count() == stats.first().total_sentences and 0 < kept.count() <= scored.count()
     assert all(r.review_id.startswith("C-") and "-s" in r.review_id for r in kept.collect())
 
 
 def test_confidence_filter(spark):
     df = spark.createDataFrame([("the the",), ("not",), ("zzz the not",)], "clause string")
-    rows = polarity.classify(df, Settings()).collect()
+    rows = polarity.classify(df, EN).collect()
     assert [(r.polarity, round(r.confidence, 3)) for r in rows] == [("positive", 0.833), ("negative", 0.75), ("neutral", 0.333)]
+
+
+def test_korean_polarity_by_stems(spark):
+    df = spark.createDataFrame([("정말 맛있어요 신선하고 좋습니다",), ("별로예요 실망했어요 썩었네요",), ("보통이에요",)], "clause string")
+    assert [r.polarity for r in polarity.classify(df, KO).collect()] == ["positive", "negative", "neutral"]
+
+
+def test_state_and_caches_over_runs(spark, tmp_path):
+    seen = []
+
+    def model(df, clause):
+        seen.append(df.count())
+        return polarity.classify(df, EN, clause)
+
+    run = lambda resume: plans.run_reviews(
+        made_reviews(spark, 80), EN, "row_idx", model=model, min_cluster_size=15, dataset="a", state_path=f"file://{tmp_path}/state", cache_dir=f"file://{tmp_path}/cache", resume=resume
+    )["clauses"].select("review_id", "clause", "stable_cluster_id").collect()
+    first, again = sorted(map(tuple, run(False))), sorted(map(tuple, run(True)))
+    assert first == again and len(first) > 0
+    assert seen[0] > 0 and seen[1] == 0
+    state = sinks.read_state(spark, f"file://{tmp_path}/state")
+    assert {r.stable_id for r in state.collect()} >= {x[2] for x in first if x[2] % 1000 != 999}
+
+
+def test_percentile_threshold_and_gate(spark):
+    out = plans.run_reviews(made_reviews(spark, 80), replace(EN, merge_percentile=0.0), "row_idx", min_cluster_size=15)
+    labels = {r.cluster_id for r in out["clauses"].select("cluster_id").distinct().collect()}
+    assert all(len({x for x in labels if x // 1000 == p and x % 1000 != 999}) <= 1 for p in range(3))
+    rows = spark.createDataFrame([("1", "맛은 정말 좋아요 그리고 맛은 정말 좋아요 별로")], "review_id string, review string")
+    assert plans.clause_rows(rows, KO).count() <= plans.clause_rows(rows, KO, gate=True).count()
+
+
+def test_sheets_and_small_reports(spark):
+    clauses = spark.createDataFrame([(1, "a", "other", ["x"]), (2, "b", "3", None)], "review_id int, clause string, cluster_id string, l array<string>")
+    reviews = spark.createDataFrame([(1,), (2,)], "review_id int")
+    sheets = report.workbook(clauses, reviews, reviews, meta=spark.createDataFrame([("k", "v")], "key string, value string"))
+    assert [tuple(r) for r in sheets["clauses"].orderBy("review_id").collect()] == [("1", "a", -1, '["x"]'), ("2", "b", 3, None)] and set(sheets) == {"clauses", "mapping", "reviews", "meta"}
+    with pytest.raises(ValueError, match="clause"):
+        report.workbook(reviews, reviews, reviews)
+    assert report.columns_lost(clauses, reviews) == ["clause", "cluster_id", "l"]
+    one = spark.createDataFrame([("b",)], "facet_bucket string")
+    assert tuple(report.ensure_top1(one).first()) == ("b", "b", None) and report.ensure_top1(reviews).first().facet_top1 is None
+    assert tuple(report.cluster_quality(spark.createDataFrame([(1, "other", [1.0], [1.0])], "k int, l string, u array<double>, v array<double>"), "k", "l", "u", "v").first()) == (None, None, 0, 1, 0)
+    moved = L.relabel(spark.createDataFrame([("2", "positive"), ("other", "neutral")], "k string, p string"), "k", "p")
+    assert [r.k for r in moved.collect()] == [2002, 1999]
+    noise = spark.createDataFrame([(5, "positive", "f", 0), (999, "neutral", "f", 1)], "c int, p string, f string, o int")
+    reps = spark.createDataFrame([(5, "r")], "c int, rep string")
+    assert report.rep_summary(noise, reps, "c", "p", "f", "o").count() == 2 and report.rep_summary(noise, reps, "c", "p", "f", "o", exclude_noise=True).count() == 1
+    assert S.load_reviews(spark.createDataFrame([("a", "p")], "review string, platform string"), keep_meta=False).columns == ["review"]
+
+
+def test_keywords_by_hook_and_by_vectors(spark):
+    df = spark.createDataFrame([("a", 1, "apples apples pear"), ("a", 2, "pears")], "c string, d int, t string")
+    stem = lambda c: F.transform(T.tokens(c, "[a-z]+"), lambda t: F.regexp_replace(t, "s$", ""))
+    assert [r.term for r in keywords.tfidf_keywords(df, "c", "d", "t", "x", [], 1, normalize=stem).collect()] == ["pear"]
+    near = keywords.keybert_like(df, "c", "d", "t", "[a-z]+", 16, top=2, multiplier=1).collect()
+    apart = keywords.keybert_like(df, "c", "d", "t", "[a-z]+", 16, top=2, multiplier=2).collect()
+    assert len(near) == len(apart) == 2 and {r.term for r in apart} <= {"apples", "pear", "pears"}
+    vectors = {t: np.array(V.hash_embed_text(t, "[a-z]+", 16)) for t in ("apples", "pear", "pears")}
+    least = min(float(vectors[a] @ vectors[b]) for a, b in (("apples", "pear"), ("apples", "pears"), ("pear", "pears")))
+    assert abs(float(vectors[apart[0].term] @ vectors[apart[1].term]) - least) < 1e-9
+
+
+def test_counted_tokens(spark):
+    got = col(spark, [["b", "a", "b"], [], None], T.counted, "array<string>")
+    assert [[(x.term, x.n) for x in g or []] for g in got] == [[("a", 1), ("b", 2)], [], []]
+
+
+def test_queries_on_the_driver_equal_the_column(spark):
+    text = "Pears and apples and nuts"
+    row = spark.range(1).select(V.hash_embed(T.tokens(F.lit(text), "[A-Za-z]{2,}"), 8).alias("v")).first()
+    assert np.allclose(row.v, V.hash_embed_text(text, "[A-Za-z]{2,}", 8))
+
+
+def test_models_are_adapters(spark):
+    from reviewlake.functions import models
+
+    embed = models.embedder("lengths", lambda: lambda texts: [[len(t), 0.0] for t in texts], batch=2)
+    df = spark.createDataFrame([("abc",), (None,), ("x",)], "t string")
+    assert [r.embedding for r in embed(df, "t").collect()] == [[1.0, 0.0], [0.0, 0.0], [1.0, 0.0]]
+    with pytest.raises(ValueError, match="no text"):
+        embed(df.limit(0), "t")
+    told = models.classifier("upper", lambda: lambda texts: [("Positive" if "a" in t else "odd", 0.9) for t in texts], batch=1)(df, "t")
+    assert [(r.polarity, r.confidence) for r in told.collect()] == [("positive", 0.9), ("neutral", 0.0), ("neutral", 0.0)]
