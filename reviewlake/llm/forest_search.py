@@ -13,6 +13,7 @@ one matrix product, which gives each query's best few of that block; these are m
 from __future__ import annotations
 
 import heapq
+import logging
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -20,12 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from reviewlake.llm.arrow_text import arrow_map
-from reviewlake.llm.vectors import matrix, one_length, sample, unit, usable
+from reviewlake.llm.vectors import blocks_met, matrix, numbered_classes, one_length, sample, unit, usable
 from reviewlake.session import checkpointed
 
+log = logging.getLogger(__name__)
 #: Rows that trees are fitted on, queries that the number of leaves is measured with, and rows in a block, at most.
-FIT_ROWS, PROBE_ROWS, BLOCK = 16_384, 256, 1024
-TREES, LEAF_ROWS, RECALL = 4, 128, 0.97
+FIT_ROWS, PROBE_ROWS, BLOCK = 65_536, 256, 1024
+#: Rows of the whole table in a leaf, and rows of the sample that a leaf needs at least: the number of leaves follows the
+#: table up to some 500,000 vectors, and leaves grow beyond.
+TREES, LEAF_ROWS, LEAST_ROWS, RECALL = 4, 128, 16, 0.97
 
 
 class Tree:
@@ -117,7 +121,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int):
 
 
 def _merged(found: DataFrame, k: int) -> DataFrame:
-    w = W.partitionBy("q").orderBy(F.desc("score"), "id")
+    w = W.partitionBy("q").orderBy(F.desc("score"), "id", "uid")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -125,8 +129,8 @@ def _leaves_needed(forest: Forest, classes: DataFrame, queries: DataFrame, n_que
     """The leaves a query has to reach, so that `recall` of the true neighbours of a sample of queries are met."""
     spark = classes.sparkSession
     every = int(forest.base[-1])
-    got = sample(queries, "q", PROBE_ROWS, n_queries).toArrow()
-    x, own = unit(matrix(got.column("v").combine_chunks())), got.column("q").to_numpy()
+    got = sample(queries, "v", PROBE_ROWS, n_queries).toArrow()
+    x, own = unit(matrix(got.column("v").combine_chunks())), got.column("key").to_numpy()
     shared = spark.sparkContext.broadcast((x, own, forest))
 
     def run(batches):
@@ -134,53 +138,61 @@ def _leaves_needed(forest: Forest, classes: DataFrame, queries: DataFrame, n_que
 
         x, own, forest = shared.value
         for batch in batches:
-            y = unit(matrix(batch.column(1)))
+            y = unit(matrix(batch.column(2)))
             if not len(y) or not len(x):
                 continue
-            ids = batch.column(0).to_numpy()
+            uids, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             s = np.where(own[:, None] == ids[None, :], -np.inf, x @ y.T)
             at = _best(s, ids, k)
             leaves = forest.place(y)[at.ravel()]
             q = np.repeat(np.arange(len(x)), at.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel()), pa.array(leaves.tolist(), pa.list_(pa.int64()))], names=["q", "id", "score", "leaves"])
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(uids[at.ravel()]), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel()), pa.array(leaves.tolist(), pa.list_(pa.int64()))], names=["q", "uid", "id", "score", "leaves"])
 
     # PROBE_ROWS times k rows at most reach the driver.
-    true = _merged(arrow_map(classes.select("id", "v"), run, "q long, id long, score double, leaves array<long>"), k).select("q", "leaves").collect()
+    true = _merged(arrow_map(classes.select("uid", "id", "v"), run, "q long, uid long, id long, score double, leaves array<long>"), k).select("q", "leaves").collect()
     if not true:
         return every
     margins = [t.margins(x) for t in forest.trees]
-    order = {}
-    places = []
+    wanted: dict[int, list[set]] = {}
     for row in true:
-        if row["q"] not in order:
-            order[row["q"]] = {leaf: n for n, leaf in enumerate(forest.search([m[row["q"]] for m in margins], every))}
-        places.append(1 + min(order[row["q"]][leaf] for leaf in row["leaves"]))
+        wanted.setdefault(row["q"], []).append(set(row["leaves"]))
+    places = []
+    for q, left in wanted.items():
+        # Each neighbour is met with the first of its leaves; the search ends with the last of them.
+        for n, leaf in enumerate(forest.search([m[q] for m in margins], every)):
+            met = [x for x in left if leaf in x]
+            places += [n + 1] * len(met)
+            left = [x for x in left if leaf not in x]
+            if not left:
+                break
     return int(np.ceil(np.quantile(places, recall)))
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of df by cosine, found for each row of queries but itself.
 
-    Both tables hold key and vector; a query is kept from itself by its key. Equal scores go to the smaller key. Vectors
-    that are null, empty, zero or hold a null or non-finite component, those of another length than most of df, and rows
-    with a null key take no part. Equal vectors are one class, of which the k + 1 smallest keys can matter. Rows that repeat
-    a key count once, by the smallest of their vectors. Empty tables give an empty result.
+    Both tables hold key and vector; a query is kept from itself, and from other rows of its key, by that key. Equal scores
+    go to the smaller key. Vectors that are null, empty, zero or hold a null or non-finite component, those of another
+    length than most of df, and rows with a null key take no part. Equal vectors are one class, of which the k + 1 smallest
+    keys can matter. A row that repeats key and vector counts once; rows that repeat a key with other vectors are candidates
+    and queries each, so a key can come more than once. Empty tables give an empty result.
     """
     spark = df.sparkSession
     fine = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(usable(F.col("v")) & F.col("id").isNotNull())
     fine, dims = one_length(fine, "v")
-    single = fine.groupBy("id").agg(F.min("v").alias("v"))
     # The k + 1 smallest keys of a class, by numbering within it: no group is gathered.
-    few = single.withColumn("n", F.row_number().over(W.partitionBy("v").orderBy("id"))).filter(F.col("n") <= k + 1)
-    classes = checkpointed(few.groupBy("v").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")).select("id", "v", "ids"))
-    asked = queries.select(F.col(key).cast("long").alias("q"), F.col(vector).alias("v")).filter(usable(F.col("v")) & F.col("q").isNotNull() & (F.size("v") == dims))
-    asked = checkpointed(asked.groupBy("q").agg(F.min("v").alias("v")))
+    few = fine.distinct().withColumn("n", F.row_number().over(W.partitionBy("v").orderBy("id"))).filter(F.col("n") <= k + 1)
+    classes = numbered_classes(few.groupBy("v").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")).select("id", "v", "ids"))
+    asked = queries.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("v")).filter(usable(F.col("v")) & F.col("key").isNotNull() & (F.size("v") == dims))
+    asked = checkpointed(asked.distinct().withColumn("q", F.monotonically_increasing_id()))
     total, n_queries = classes.count(), asked.count()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not total or not n_queries:
         return empty
-    forest = Forest(unit(matrix(sample(classes, "id", FIT_ROWS, total).toArrow().column("v").combine_chunks())), trees, LEAF_ROWS)
+    fitted = unit(matrix(sample(classes, "v", FIT_ROWS, total).toArrow().column("v").combine_chunks()))
+    forest = Forest(fitted, trees, max(min(LEAST_ROWS, LEAF_ROWS), LEAF_ROWS * len(fitted) // total))
     most = _leaves_needed(forest, classes, asked, n_queries, k, recall)
+    log.info("%d classes, %d leaves, %d opened for a query", total, int(forest.base[-1]), most)
     shared = spark.sparkContext.broadcast(forest)
     kind = classes.schema["v"].dataType.simpleString()
 
@@ -188,9 +200,9 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
         import pyarrow as pa
 
         for batch in batches:
-            x = unit(matrix(batch.column(1)))
+            x = unit(matrix(batch.column(2)))
             leaves = shared.value.place(x).tolist() if len(x) else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(leaves, pa.list_(pa.int32()))], names=["id", "v", "ids", "leaves"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["uid", "id", "v", "leaves"])
 
     def route(batches):
         import pyarrow as pa
@@ -202,33 +214,27 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
             leaves = [list(forest.search([m[n] for m in margins], most)) for n in range(len(x))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaves, pa.list_(pa.int32()))], names=["q", "v", "leaves"])
 
-    indexed = checkpointed(arrow_map(classes, index, f"id long, v {kind}, ids array<long>, leaves array<int>")).select("id", "v", "ids", F.explode("leaves").alias("leaf"))
-    routed = checkpointed(arrow_map(asked, route, f"q long, v {kind}, leaves array<int>")).select("q", "v", F.explode("leaves").alias("leaf"))
-
-    def packed(rows: DataFrame, by: str, columns: list[str], name: str) -> DataFrame:
-        sizes = rows.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-        parted = rows.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64(by), F.col("parts")).cast("int"))
-        return parted.groupBy("leaf", "part").agg(F.collect_list(F.struct(*columns)).alias(name)).select("leaf", name)
-
-    meetings = packed(routed, "q", ["q", "v"], "a").join(packed(indexed, "id", ["id", "v", "ids"], "b"), "leaf").select("a", "b")
+    indexed = checkpointed(arrow_map(classes.select("uid", "id", "v"), index, f"uid long, id long, v {kind}, leaves array<int>")).select("uid", "id", "v", F.explode("leaves").alias("leaf"))
+    routed = checkpointed(arrow_map(asked.select("q", "v"), route, f"q long, v {kind}, leaves array<int>")).select("q", "v", F.explode("leaves").alias("leaf"))
+    meetings = blocks_met(routed, indexed, "leaf", ["q", "v"], ["uid", "id", "v"], BLOCK).select("a", "b")
 
     def meet(batches):
         import pyarrow as pa
 
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1), strict=True):
-                q, ids = a.values.field("q").to_numpy(), b.values.field("id").to_numpy()
+                q, uids, ids = a.values.field("q").to_numpy(), b.values.field("uid").to_numpy(), b.values.field("id").to_numpy()
                 s = unit(matrix(a.values.field("v"))) @ unit(matrix(b.values.field("v"))).T
                 # One more than asked for: a query's own class may hold nothing but itself.
                 at = _best(s, ids, k + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q, at.shape[1])), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel())], names=["q", "id", "score"]
+                    [pa.array(np.repeat(q, at.shape[1])), pa.array(uids[at.ravel()]), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel())], names=["q", "uid", "id", "score"]
                 )
 
     # A class met in several trees comes with one score, but for rounding; the exact one follows below.
-    found = arrow_map(meetings, meet, "q long, id long, score double").groupBy("q", "id").agg(F.max("score").alias("score"))
-    top = _merged(found, k + 1).select("q", "id")
-    both = top.join(classes, "id").select("q", "ids", F.col("v").alias("y")).join(asked.select("q", F.col("v").alias("x")), "q")
+    found = arrow_map(meetings, meet, "q long, uid long, id long, score double").groupBy("q", "uid", "id").agg(F.max("score").alias("score"))
+    top = _merged(found, k + 1).select("q", "uid")
+    both = top.join(classes, "uid").select("q", "ids", "uid", F.col("v").alias("y")).join(asked.select("q", "key", F.col("v").alias("x")), "q")
 
     def dot(p, r):
         return F.aggregate(F.zip_with(p, r, lambda i, j: i.cast("double") * j.cast("double")), F.lit(0.0), lambda acc, i: acc + i)
@@ -237,10 +243,10 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
         largest = F.array_max(F.transform(v, lambda i: F.abs(i.cast("double"))))
         return F.transform(v, lambda i: i.cast("double") / largest)
 
-    exact = both.select("q", "ids", scaled(F.col("x")).alias("x"), scaled(F.col("y")).alias("y"))
+    exact = both.select("q", "key", "uid", "ids", scaled(F.col("x")).alias("x"), scaled(F.col("y")).alias("y"))
     score = dot(F.col("x"), F.col("y")) / (F.sqrt(dot(F.col("x"), F.col("x"))) * F.sqrt(dot(F.col("y"), F.col("y"))))
-    rows = exact.select("q", score.alias("score"), F.explode("ids").alias("id")).filter("id <> q")
-    return _merged(rows, k).select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
+    rows = exact.select("q", "key", "uid", score.alias("score"), F.explode("ids").alias("id")).filter("id <> key")
+    return _merged(rows, k).select(F.col("key").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
 
 
 def op1_projection_forest(spark, sf_dir: str) -> DataFrame:

@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.llm.arrow_text import arrow_map
-from reviewlake.llm.vectors import matrix, one_length, sample, unit, usable
+from reviewlake.llm.vectors import blocks_met, matrix, numbered_classes, one_length, sample, unit, usable
 from reviewlake.operators.graph import connected_components
 from reviewlake.session import checkpointed
 
 #: Rows that codebooks are fitted on, at most, and rows whose links set the reach.
 FIT_ROWS, PROBE_ROWS = 16_384, 2048
-CODEWORDS, ROUNDS = 32, 12
+#: Codewords of a half: their square follows the number of vectors, so that a cell holds about CELL_ROWS, from the least to
+#: the most; beyond some 50 million vectors cells grow.
+LEAST_CODEWORDS, MOST_CODEWORDS, CELL_ROWS, ROUNDS = 32, 1024, 48, 12
 #: Vectors in a block.
 BLOCK = 1024
 TARGET_RECALL = 0.99
@@ -41,12 +43,17 @@ def codebook(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     centres = x[r.choice(len(x), k, replace=False)]
     for _ in range(ROUNDS):
         near = ((centres**2).sum(1)[None, :] - 2 * x @ centres.T).argmin(axis=1)
-        for c in range(k):
-            own = x[near == c]
-            centres[c] = own.mean(axis=0) if len(own) else x[r.integers(len(x))]
+        order = np.argsort(near, kind="stable")
+        own, first = np.unique(near[order], return_index=True)
+        centres = x[r.integers(len(x), size=k)]
+        centres[own] = np.add.reduceat(x[order], first, axis=0) / np.diff(np.append(first, len(x)))[:, None]
     return centres
 
 
+def codewords_for(total: int) -> int:
+    return int(min(MOST_CODEWORDS, max(LEAST_CODEWORDS, round((total / CELL_ROWS) ** 0.5))))
+
+
 def distances(x: np.ndarray, books) -> tuple[np.ndarray, np.ndarray]:
     """Squared distances of both halves of each row to the codewords of their books."""
     h = x.shape[1] // 2
@@ -77,9 +84,9 @@ def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -
     """How far over its best sum a vector must look to meet its links: what TARGET_RECALL of made-up pairs need whose
     cosine is the threshold, and at least the most that any link of a sample needs and half more."""
     spark = vectors.sparkSession
-    got = sample(vectors, "id", PROBE_ROWS, total).toArrow()
+    got = sample(vectors, "v", PROBE_ROWS, total).toArrow()
     probes = unit(matrix(got.column("v").combine_chunks()))
-    shared = spark.sparkContext.broadcast((probes, got.column("id").to_numpy(), books))
+    shared = spark.sparkContext.broadcast((probes, got.column("uid").to_numpy(), books))
 
     def run(batches):
         import pyarrow as pa
@@ -99,7 +106,7 @@ def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -
             if need:
                 yield pa.RecordBatch.from_arrays([pa.array([max(need)], pa.float64())], names=["x"])
 
-    found = arrow_map(vectors.select("id", "v"), run, "x double").agg(F.max("x").alias("top")).first()
+    found = arrow_map(vectors.select("uid", "v"), run, "x double").agg(F.max("x").alias("top")).first()
     if not len(probes):
         return 0.0
     r = np.random.default_rng(5)
@@ -140,24 +147,24 @@ def _meet(x, xi, xw, y, yi, yw, xcell_of_y, threshold: float):
     return ids[keep], links[keep], low[keep]
 
 
-def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, codewords: int = CODEWORDS) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, codewords: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of df.
 
     Equal vectors are one class and are compared once. Vectors that are null, empty, zero or hold a null or non-finite
-    component, and vectors of another length than most, link with nothing; so does a null key. Rows of equal key count as
-    one vector, by the first of their vectors. An empty table gives an empty one.
+    component, and vectors of another length than most, link with nothing; so does a row with a null key. Every other row is
+    a vector of its own, so rows that repeat a key count each, whether their vectors are equal or not. An empty table gives
+    an empty one; other columns of df are not read.
     """
-    spark = df.sparkSession
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
     good, dims = one_length(rows.filter(usable(F.col("v")) & F.col("id").isNotNull()), "v")
-    members = checkpointed(good.groupBy("id").agg(F.min("v").alias("v")))
-    classes = checkpointed(members.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("w")).select("id", "w", "v"))
+    classes = numbered_classes(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("w")))
     total = classes.count()
-    fitted = unit(matrix(sample(classes, "id", FIT_ROWS, total).toArrow().column("v").combine_chunks()))
+    codewords = codewords or codewords_for(total)
+    fitted = unit(matrix(sample(classes, "v", FIT_ROWS, total).toArrow().column("v").combine_chunks()))
     h = dims // 2
     books = (codebook(fitted[:, :h], codewords, 1), codebook(fitted[:, h:], codewords, 2)) if len(fitted) else (np.zeros((1, h)), np.zeros((1, dims - h)))
     reach = _reach(classes, books, threshold, total, dims) if total else 0.0
-    shared = spark.sparkContext.broadcast((books, reach))
+    shared = df.sparkSession.sparkContext.broadcast((books, reach))
     k2 = len(books[1])
 
     def visits(batches):
@@ -171,42 +178,38 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
             f, s = distances(x, books)
             cells = [[i * k2 + j for i, j in traverse(f[n], s[n], reach)] for n in range(len(x))]
             home = f.argmin(1) * k2 + s.argmin(1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(home, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["id", "w", "v", "home", "cells"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(home, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], names=["uid", "w", "v", "home", "cells"])
 
     kind = classes.schema["v"].dataType.simpleString()
-    placed = checkpointed(arrow_map(classes, visits, f"id long, w long, v {kind}, home int, cells array<int>"))
-    # Blocks of a cell's residents and of its visitors, by a hash of the id; their number follows the cell's size.
-    counts = placed.groupBy("home").agg(F.count("*").alias("n")).select(F.col("home").alias("cell"), F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    residents = placed.join(counts, placed["home"] == counts["cell"]).select("cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "w", "v", "home")
-    visited = placed.select("id", "w", "v", "home", F.explode("cells").alias("cell"))
-    vcounts = visited.groupBy("cell").agg(F.count("*").alias("n")).select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    visitors = visited.join(vcounts, "cell").select("cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "w", "v", "home")
-    pack = lambda d: d.groupBy("cell", "part").agg(F.collect_list(F.struct("id", "w", "home", "v")).alias("b"))
-    left = pack(visitors).select("cell", F.col("part").alias("pa"), F.col("b").alias("ba"))
-    right = pack(residents).select("cell", F.col("part").alias("pb"), F.col("b").alias("bb"))
-    meetings = left.join(right, "cell").select("cell", "ba", "bb")
+    placed = checkpointed(arrow_map(classes.select("uid", "w", "v"), visits, f"uid long, w long, v {kind}, home int, cells array<int>"))
+    residents = placed.select("uid", "w", "v", "home", F.col("home").alias("cell"))
+    visitors = placed.select("uid", "w", "v", "home", F.explode("cells").alias("cell"))
+    sides = ["uid", "w", "home", "v"]
+    meetings = blocks_met(visitors, residents, "cell", sides, sides, BLOCK).select("a", "b")
 
     def meet(batches):
         import pyarrow as pa
 
         books, reach = shared.value
         for batch in batches:
-            for cell, *sides in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                (xi, xw, xh, x), (yi, yw, yh, y) = ((b.values.field("id").to_numpy(), b.values.field("w").to_numpy(), b.values.field("home").to_numpy(), unit(matrix(b.values.field("v")))) for b in sides)
+            for sides in zip(batch.column(0), batch.column(1), strict=True):
+                (xi, xw, xh, x), (yi, yw, yh, y) = ((b.values.field("uid").to_numpy(), b.values.field("w").to_numpy(), b.values.field("home").to_numpy(), unit(matrix(b.values.field("v")))) for b in sides)
                 f, s = distances(y, books)
-                sums = (f[:, :, None] + s[:, None, :]).reshape(len(y), -1)[:, xh].T
-                back = sums <= (f.min(1) + s.min(1) + reach)[None, :]
+                back = (f[:, xh // k2] + s[:, xh % k2]).T <= (f.min(1) + s.min(1) + reach)[None, :]
                 found = _meet(x, xi, xw, y, yi, yw, back, threshold)
                 if found is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["id", "links", "low"])
-
-    found = checkpointed(arrow_map(meetings, meet, "id long, links long, low long").groupBy("id").agg(F.sum("links").alias("links"), F.collect_set("low").alias("lows")))
-    edges = found.select("id", F.explode("lows").alias("low")).filter("id <> low")
-    placed_in = connected_components(edges, "id", "low")
-    sums = classes.join(found, "id", "left").join(placed_in, classes["id"] == placed_in["node"], "left")
-    sums = sums.select(classes["v"], (F.coalesce("links", F.lit(0).cast("long")) + F.col("w") - 1).alias("n_links"), F.coalesce("component", classes["id"]).alias("component_id"))
-    told = members.join(sums, "v").select(F.col("id").alias("_id"), "n_links", "component_id")
-    out = rows.select("id").join(told, F.col("id") == F.col("_id"), "left")
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["uid", "links", "low"])
+
+    # Pairs of a vector and the smallest of its group are made distinct by tasks before they are sent.
+    met = checkpointed(arrow_map(meetings, meet, "uid long, links long, low long").groupBy("uid", "low").agg(F.sum("links").alias("links")))
+    placed_in = connected_components(met.filter("uid <> low"), "uid", "low")
+    links = met.groupBy("uid").agg(F.sum("links").alias("links"))
+    grouped = classes.join(placed_in, classes["uid"] == placed_in["node"], "left").select("uid", "v", "w", "id", F.coalesce("component", "uid").alias("group"))
+    # A group goes by its smallest key, not by the number of the class that stands for it.
+    lowest = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
+    sums = grouped.join(links, "uid", "left").join(lowest, "group").select("v", (F.coalesce("links", F.lit(0).cast("long")) + F.col("w") - 1).alias("n_links"), "component_id")
+    counted = rows.withColumn("_v", F.when(F.col("id").isNotNull(), F.col("v"))).drop("v")
+    out = counted.join(sums, counted["_v"] == sums["v"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 

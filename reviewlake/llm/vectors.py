@@ -38,3 +38,31 @@ def one_length(df: DataFrame, v: str) -> tuple[DataFrame, int]:
     found = df.groupBy(F.size(v).alias("d")).count().orderBy(F.desc("count"), "d").first()
     d = found["d"] if found else 0
     return df.filter(F.size(v) == d), d
+
+
+def blocks_met(a: DataFrame, b: DataFrame, cell: str, columns_a: list[str], columns_b: list[str], block: int) -> DataFrame:
+    """(cell, a, b): every block of a's rows of a cell beside every block of b's; blocks hold about `block` rows.
+
+    Rows fall into blocks by a hash of their first column. The key of a meeting is the cell and both blocks, so the meetings
+    of a cell with very many rows go to many tasks, and each side is sent once to where it meets the other. Cells that only
+    one side has are left out.
+    """
+    from reviewlake.session import checkpointed, small
+
+    parts = lambda d, name: d.groupBy(cell).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    sizes = small(checkpointed(parts(a, "_na").join(parts(b, "_nb"), cell)))
+
+    def packed(d: DataFrame, columns: list[str], own: str, own_n: str, other: str, other_n: str, name: str) -> DataFrame:
+        rows = d.join(sizes, cell).withColumn(own, F.pmod(F.xxhash64(columns[0]), F.col(own_n)).cast("int"))
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+        return rows.groupBy(cell, "_pa", "_pb").agg(F.collect_list(F.struct(*columns)).alias(name))
+
+    left, right = packed(a, columns_a, "_pa", "_na", "_pb", "_nb", "a"), packed(b, columns_b, "_pb", "_nb", "_pa", "_na", "b")
+    return left.join(right, [cell, "_pa", "_pb"]).select(cell, "a", "b")
+
+
+def numbered_classes(rows: DataFrame, v: str = "v") -> DataFrame:
+    """rows, one for each vector, with `uid`, a number of its own; fixed by a checkpoint, so it is read as it was given."""
+    from reviewlake.session import checkpointed
+
+    return checkpointed(rows.withColumn("uid", F.monotonically_increasing_id()))

@@ -53,3 +53,33 @@ def test_odd_vectors_and_few_candidates(spark, tmp_path):
     assert fs.op1_projection_forest(spark, f"{tmp_path}/e").count() == 0
     spark.createDataFrame([(50, [1.0, 2.0])], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/o/embeddings.parquet")
     assert fs.op1_projection_forest(spark, f"{tmp_path}/o").count() == 0
+
+
+def test_rows_of_one_key_with_other_vectors_are_candidates_each(spark):
+    rows = [(50, [1.0, 0.0]), (7, [1.0, 0.1]), (7, [0.0, 1.0]), (50, [0.0, 1.0]), (7, [1.0, 0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((x.query_id, x["rank"], x.vec_id, round(x.score, 3)) for x in fs.nearest(df, df.filter("vec_id = 50"), 5).collect())
+    assert got == [(50, 1, 7, 0.995), (50, 1, 7, 1.0), (50, 2, 7, 0.0), (50, 2, 7, 0.1)]
+
+
+def test_recall_at_the_shipped_parameter_and_fewer_leaves_of_larger_tables(spark, caplog):
+    """Vectors in loose groups, as embeddings are. The share of leaves that a query opens falls as the table grows."""
+    r, shares = np.random.default_rng(5), []
+    for n in (2000, 20_000):
+        x = (r.normal(size=(n // 20, 1, 64)) + 0.5 * r.normal(size=(n // 20, 20, 64))).reshape(n, 64)
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+        with caplog.at_level("INFO", logger=fs.__name__):
+            got = fs.nearest(df, df.filter("vec_id % 50 = 0"), 5).collect()
+        told = caplog.records[-1].args
+        shares.append(told[2] / told[1])
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        s = u[::50] @ u.T
+        s[np.arange(len(s)), np.arange(0, n, 50)] = -2
+        true = np.argsort(-s, axis=1)[:, :5]
+        mine = {}
+        for a in got:
+            mine.setdefault(a.query_id, set()).add(a.vec_id)
+        recall = np.mean([len(mine[50 * i] & set(t.tolist())) / 5 for i, t in enumerate(true)])
+        print(f"{n} vectors: {told[2]} of {told[1]} leaves opened, recall {recall:.3f}")
+        assert recall >= 0.95
+    assert shares[1] < shares[0]

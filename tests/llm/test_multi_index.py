@@ -56,7 +56,7 @@ def test_odd_vectors(spark, tmp_path):
     rows = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, None), (4, [0.0, 0.0, 0.0]), (5, [nan, 1.0, 0.0]), (6, [inf, 1.0, 0.0]), (7, [None, 1.0, 0.0]), (8, []), (9, [1.0, 0.0]), (None, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (10, [3e38, 0.0, 0.0]), (11, [0.0, 1e-40, 0.0])]
     spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<float>, w int").write.parquet(f"{tmp_path}/embeddings.parquet")
     got = sorted(((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in multi_index.op10_multi_index(spark, str(tmp_path)).collect()))
-    linked = {1: (2, 1), 2: (2, 1), 10: (2, 1)}
+    linked = {1: (3, 1), 2: (3, 1), 10: (3, 1)}
     assert got == sorted((i or 0, *linked.get(i, (0, i or 0)), i is None or linked.get(i, (0, i))[1] == i) for i, _ in rows)
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/e/embeddings.parquet")
     assert multi_index.op10_multi_index(spark, f"{tmp_path}/e").count() == 0
@@ -78,3 +78,17 @@ def test_rare_links_at_the_threshold_are_met_beside_many_close_ones(spark, monke
     df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
     got = {a.vec_id: (a.n_links, a.component_id) for a in multi_index.near_duplicates(df).collect()}
     assert got == brute(ids, x)
+
+
+def test_rows_of_one_key_with_other_vectors_count_each(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (7, [1.0, 0.01]), (3, [0.01, 1.0]), (5, [1.0, 0.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in multi_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False)]
+
+
+def test_codewords_follow_the_table(spark):
+    assert [multi_index.codewords_for(n) for n in (0, 50_000, 1_000_000, 10**10)] == [32, 32, 144, 1024]
+    x = made(3, 3000, 24, [40, 2, 2, 2])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multi_index.near_duplicates(df, codewords=200).collect()}
+    assert got == brute(list(range(3000)), x.astype(float))
