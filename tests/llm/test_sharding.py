@@ -39,3 +39,10 @@ def test_nulls_repeats_empty_and_clashes(spark, tmp_path):
         assert sorted(x.slot for x in got if x.shard == s) == list(range(n))
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/e/documents.parquet")
     assert sharding.op9_jump_shards(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_many_shards_and_both_counts_from_one_walk(spark):
+    keys = [0, -5, 2**63 - 1, *range(300)]
+    df = spark.createDataFrame([(k, "t") for k in keys], "k long, t string")
+    got = sharding.assign_shards(df, "k", 1000, shard="t", grown="g").collect()
+    assert [(x.t, x.g) for x in got] == [(jump(x.k, 1000), jump(x.k, 1001)) for x in got] and len(got) == len(keys)
