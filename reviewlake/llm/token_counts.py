@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 
 from reviewlake.llm.arrow_text import arrow_map
 from reviewlake.llm.token_ids import default_path, worker_encoder
-from reviewlake.session import delete_path, scratch_path
+from reviewlake.session import checkpointed, delete_path, scratch_path
 
 BLOCK_TOKENS = 1 << 21
 #: Fixed value: the tokenizer's end-of-text id.
@@ -38,6 +38,7 @@ def write_token_files(df: DataFrame, folder: str, key: str = "doc_id", text: str
 
     def run(batches):
         import pyarrow as pa
+        from pyarrow import fs
         from pyspark import TaskContext
 
         encoder, context = worker_encoder(path, plain_specials=True), TaskContext.get()
@@ -55,19 +56,26 @@ def write_token_files(df: DataFrame, folder: str, key: str = "doc_id", text: str
                     [pa.array([name] * n, pa.string()), pa.array(np.arange(ordinal, ordinal + n), pa.int64()), batch.column(0)], names=["file", "ordinal", "doc_id"]
                 )
                 ordinal += n
+        # Some file systems refuse to move onto a file that an earlier attempt has left.
+        if where.get_file_info(f"{base}/{name}").type != fs.FileType.NotFound:
+            where.delete_file(f"{base}/{name}")
         where.move(trial, f"{base}/{name}")
 
     return arrow_map(df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text")), run, "file string, ordinal long, doc_id long")
 
 
 def blocks(spark: SparkSession, folder: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file, block, at, length) of every block of the folder's files, from their sizes alone."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(folder)
-    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
-    files = [(x.getPath().getName(), x.getLen()) for x in found if not x.getPath().getName().startswith("_")]
+    """(file, block, at, length) of every block of the folder's files, from their sizes alone.
+
+    Spark lists the files, whose content is not read here; a folder that is not there has none.
+    """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder)
+        sizes = found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"))
+    else:
+        sizes = spark.createDataFrame([], "file string, bytes long")
     step = 2 * block_tokens
-    sizes = spark.createDataFrame(files, "file string, bytes long") if files else spark.createDataFrame([], "file string, bytes long")
     every = sizes.select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("bytes") - 1) / step).cast("long"))).alias("block")).filter("bytes > 0")
     return every.select("file", "block", (F.col("block") * step).alias("at"), F.least(F.lit(step), F.col("bytes") - F.col("block") * step).alias("length"))
 
@@ -120,10 +128,13 @@ def stitch(reports: DataFrame) -> DataFrame:
 
 
 def count_tokens(spark: SparkSession, folder: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file, ordinal, n_tokens) of every document in the folder's flat token files; no file gives no rows."""
-    found = blocks(spark, folder, block_tokens)
+    """(file, ordinal, n_tokens) of every document in the folder's flat token files; no file gives no rows.
+
+    Each file is read once: the blocks' reports are written before they are stitched.
+    """
+    found = checkpointed(blocks(spark, folder, block_tokens))
     n = max(1, min(found.count(), 100_000))
-    return stitch(scan(found.repartition(n, "file", "block"), folder, end_id))
+    return stitch(checkpointed(scan(found.repartition(n, "file", "block"), folder, end_id)))
 
 
 def op2_token_counts(spark, sf_dir: str) -> DataFrame:
@@ -131,10 +142,10 @@ def op2_token_counts(spark, sf_dir: str) -> DataFrame:
 
     A null or empty text has 0 tokens; repeated rows are counted each; a null doc_id is kept.
     """
-    from reviewlake.session import checkpointed
-
     folder = scratch_path(spark, "token-files")
-    placed = checkpointed(write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder))
-    found = checkpointed(count_tokens(spark, folder))
-    delete_path(spark, folder)
+    try:
+        placed = checkpointed(write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder))
+        found = checkpointed(count_tokens(spark, folder))
+    finally:
+        delete_path(spark, folder)
     return placed.join(found, ["file", "ordinal"]).select("doc_id", "n_tokens")
