@@ -87,14 +87,25 @@ class Packer:
         self.room[at] = 0
 
     def finish(self) -> None:
-        """Closes what is open. Full sequences stay; the pieces of the others are laid end to end and cut anew."""
-        kept = [x for x in self.open if x]
-        pieces = [p for x in kept for p in x]
+        """Closes what is open. As many sequences as the tokens can fill stay as the heuristic made them, the fullest first,
+        and are filled up with pieces of the others; what is left then is laid end to end and cut to powers of two."""
+        kept = sorted((x for x in self.open if x), key=lambda x: -sum(len(p[2]) for p in x))
         self.open, self.room = [None] * self.pool, np.zeros((self.pool, 3))
         if self.limits.loss_tokens < self.limits.tokens:
             # Cutting anew could break the loss limit: close them as they are.
             self.done.extend(kept)
             return
+        full = sum(len(p[2]) for x in kept for p in x) // self.limits.tokens
+        pieces = [p for x in reversed(kept[full:]) for p in x]
+        for sequence in kept[:full]:
+            free = self.limits.tokens - sum(len(p[2]) for p in sequence)
+            while free and pieces and len(sequence) < self.limits.segments:
+                tag, start, ids = pieces.pop()
+                sequence.append((tag, start, ids[:free]))
+                if len(ids) > free:
+                    pieces.append((tag, start + free, ids[free:]))
+                free -= min(free, len(ids))
+            self.done.append(sequence)
         total = sum(len(p[2]) for p in pieces)
         current, room = [], self._next_length(total)
         for tag, start, ids in pieces:

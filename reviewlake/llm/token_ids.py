@@ -20,6 +20,9 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Within these characters, composing changes nothing and lower-casing goes by single characters.
 BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
 
+#: Texts that tell a tokenizer apart for which words are not encoded one by one.
+PROBES = ("The quick  Brown fox's can't,\n\tdon't -- (it's) 12,345.67!", "Éléphant naïve straße «œuvre» 北京 слово", "a" * 40 + " ...!? x_y @z #1", " leading and trailing ")
+
 
 def byte_letters() -> dict[int, str]:
     """The public byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
@@ -45,12 +48,15 @@ class Encoder:
         self.model, self.bytes = self.tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        # The way by words holds for the tokenizer above; any other one that tells itself apart here encodes whole texts.
+        self.by_words = True
+        self.by_words = all(self.encode(t).tobytes() == self._whole(t) for t in PROBES)
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one text as uint32; a null text has none."""
         if not text:
             return np.zeros(0, np.uint32)
-        if "<|" in text:  # may hold the strings of special tokens
+        if not self.by_words or "<|" in text:  # may hold the strings of special tokens
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         if not BEYOND_LATIN.search(text):
             text = text.lower()

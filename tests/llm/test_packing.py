@@ -82,3 +82,33 @@ def test_loss_limit_holds_through_the_table(spark):
         loss[x.sequence_id] += max(0, x.start + x.length - max(x.start, begins[x.doc_id] or 0))
         tokens[x.sequence_id] += x.length
     assert max(loss.values()) <= 24 < max(tokens.values())
+
+
+def test_the_end_of_a_task_keeps_what_the_heuristic_made():
+    packer = packing.Packer(packing.Limits(tokens=16, segments=4, loss_tokens=16), pool=4)
+    sizes = [9, 5, 11, 4, 7, 3, 2, 1]
+    for k, n in enumerate(sizes):
+        packer.add(k, np.arange(n, dtype=np.uint32))
+    before = [[p[0] for p in s] for s in packer.open if s]
+    packer.finish()
+    got = sorted((tag, start, len(ids)) for s in packer.done for tag, start, ids in s)
+    for k, n in enumerate(sizes):
+        own = [x for x in got if x[0] == k]
+        assert sum(x[2] for x in own) == n and [x[1] for x in own] == list(np.cumsum([0, *(x[2] for x in own)])[:-1])
+    lengths = sorted((sum(len(p[2]) for p in s) for s in packer.done), reverse=True)
+    assert sum(lengths) == sum(sizes) and all(n == 16 or n & (n - 1) == 0 for n in lengths) and all(len(s) <= 4 for s in packer.done)
+    kept = [[p[0] for p in s] for s in packer.done]
+    assert any(old == new[: len(old)] for old in before for new in kept)
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from reviewlake.llm.token_ids import Encoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_words and Encoder(packing.default_path()).by_words
+    for text in ("Two words, can't  stop.", " été\n北京", ""):
+        assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
