@@ -205,7 +205,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     """A model fitted on the labelled rows of docs, `sample_rows` at most.
 
     The sample is the keys whose hash lies below the bound's share of all labels, so the side that is broadcast, and what
-    the driver gets, are bounded by it. Keys or labels that are null teach nothing.
+    the driver gets, are bounded by it. Keys or labels that are null teach nothing; a key that repeats, among labels or among
+    documents, teaches once a pair of rows; empty tables give a model of 0.5 everywhere.
     """
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     total = known.count()
@@ -218,7 +219,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
 
 
 def score(df: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text", threshold: float = 0.3, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
-    """df[keep] with the score (0 to 1) and the prediction (1 from the threshold on), named by `out`. A null text scores as an empty one."""
+    """df[keep] with the score (0 to 1) and the prediction (1 from the threshold on), named by `out`.
+
+    A null text scores as an empty one; repeated rows are scored each; an empty table gives an empty one; columns of df that
+    are not in `keep`, whatever their names, are not read but for the text.
+    """
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields]
 
     at = keep.index(text) if text in keep else len(keep)
