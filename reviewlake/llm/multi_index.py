@@ -27,11 +27,11 @@ from reviewlake.session import checkpointed
 #: Rows that codebooks are fitted on, at most, and rows whose links set the reach.
 FIT_ROWS, PROBE_ROWS = 16_384, 2048
 #: Codewords of a half: their square follows the number of vectors, so that a cell holds about CELL_ROWS, from the least to
-#: the most; beyond some 50 million vectors cells grow.
-LEAST_CODEWORDS, MOST_CODEWORDS, CELL_ROWS, ROUNDS = 32, 1024, 48, 12
+#: the most; beyond some 130 million vectors cells grow. Fewer codewords mean fewer cells to look into, each a copy.
+LEAST_CODEWORDS, MOST_CODEWORDS, CELL_ROWS, ROUNDS = 16, 1024, 128, 12
 #: Vectors in a block.
 BLOCK = 1024
-TARGET_RECALL = 0.99
+TARGET_RECALL = 0.98
 
 
 def codebook(x: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -80,9 +80,20 @@ def _linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return x @ y.T >= threshold
 
 
+def _need(x: np.ndarray, y: np.ndarray, books) -> np.ndarray:
+    """For each pair of rows of x and y how far over its best sum the one that needs less must look to see the other's home."""
+    out, at = None, np.arange(len(x))
+    for p, q in ((x, y), (y, x)):
+        f, s = distances(p, books)
+        qf, qs = distances(q, books)
+        own = f[at, qf.argmin(1)] + s[at, qs.argmin(1)] - f.min(1) - s.min(1)
+        out = own if out is None else np.minimum(out, own)
+    return out
+
+
 def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -> float:
-    """How far over its best sum a vector must look to meet its links: what TARGET_RECALL of made-up pairs need whose
-    cosine is the threshold, and at least the most that any link of a sample needs and half more."""
+    """How far over its best sum a vector must look to meet its links, where one of two linked vectors must see the other:
+    what TARGET_RECALL of made-up pairs need whose cosine is the threshold, and at least what any link of a sample needs."""
     spark = vectors.sparkSession
     got = sample(vectors, "v", PROBE_ROWS, total).toArrow()
     probes = unit(matrix(got.column("v").combine_chunks()))
@@ -91,20 +102,15 @@ def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -
     def run(batches):
         import pyarrow as pa
 
-        x, ids, books = shared.value
+        x, uids, books = shared.value
         for batch in batches:
             y = unit(matrix(batch.column(1)))
             if not len(y) or not len(x):
                 continue
-            hit = _linked(x, y, threshold) & (ids[:, None] != batch.column(0).to_numpy()[None, :])
-            need = []
-            for p in np.flatnonzero(hit.any(axis=1)):
-                mates = y[hit[p]]
-                f, s = distances(x[p : p + 1], books)
-                mf, ms = distances(mates, books)
-                need.append((f[0][mf.argmin(axis=1)] + s[0][ms.argmin(axis=1)] - f.min() - s.min()).max())
-            if need:
-                yield pa.RecordBatch.from_arrays([pa.array([max(need)], pa.float64())], names=["x"])
+            i, j = np.nonzero(_linked(x, y, threshold) & (uids[:, None] != batch.column(0).to_numpy()[None, :]))
+            most = max((float(_need(x[i[a : a + BLOCK]], y[j[a : a + BLOCK]], books).max()) for a in range(0, len(i), BLOCK)), default=None)
+            if most is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([most], pa.float64())], names=["x"])
 
     found = arrow_map(vectors.select("uid", "v"), run, "x double").agg(F.max("x").alias("top")).first()
     if not len(probes):
@@ -114,11 +120,8 @@ def _reach(vectors: DataFrame, books, threshold: float, total: int, dims: int) -
     noise = unit(noise - (noise * probes).sum(1, keepdims=True) * probes)
     cosine = min(1.0, threshold)
     mates = cosine * probes + np.sqrt(max(0.0, 1 - cosine**2)) * noise
-    f, s = distances(probes, books)
-    mf, ms = distances(mates, books)
-    at = np.arange(len(probes))
-    made_up = float(np.quantile(f[at, mf.argmin(1)] + s[at, ms.argmin(1)] - f.min(1) - s.min(1), TARGET_RECALL))
-    return max(1.5 * (found["top"] or 0.0), made_up) + 1e-6
+    made_up = float(np.quantile(_need(probes, mates, books), TARGET_RECALL))
+    return max(found["top"] or 0.0, made_up) + 1e-6
 
 
 def _meet(x, xi, xw, y, yi, yw, xcell_of_y, threshold: float):

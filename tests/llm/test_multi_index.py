@@ -87,7 +87,7 @@ def test_rows_of_one_key_with_other_vectors_count_each(spark):
 
 
 def test_codewords_follow_the_table(spark):
-    assert [multi_index.codewords_for(n) for n in (0, 50_000, 1_000_000, 10**10)] == [32, 32, 144, 1024]
+    assert [multi_index.codewords_for(n) for n in (0, 50_000, 1_000_000, 10**10)] == [16, 20, 88, 1024]
     x = made(3, 3000, 24, [40, 2, 2, 2])
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     got = {r.vec_id: (r.n_links, r.component_id) for r in multi_index.near_duplicates(df, codewords=200).collect()}
