@@ -28,8 +28,11 @@ log = logging.getLogger(__name__)
 #: Rows that trees are fitted on, queries that the number of leaves is measured with, and rows in a block, at most.
 FIT_ROWS, PROBE_ROWS, BLOCK = 65_536, 256, 1024
 #: Rows of the whole table in a leaf, and rows of the sample that a leaf needs at least: the number of leaves follows the
-#: table up to some 500,000 vectors, and leaves grow beyond.
-TREES, LEAF_ROWS, LEAST_ROWS, RECALL = 4, 128, 16, 0.97
+#: table up to some 500,000 vectors, and leaves grow beyond. Leaves are made larger, too, until a query opens OPENED of them
+#: at most, as it is sent to each: where vectors have no groups the recall needs a fixed share of all leaves.
+TREES, LEAF_ROWS, LEAST_ROWS, OPENED, RECALL = 4, 128, 16, 64, 0.97
+#: Rows that a task gathers before it keeps only the best of each query.
+GATHERED = 1 << 18
 
 
 class Tree:
@@ -125,18 +128,17 @@ def _merged(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _leaves_needed(forest: Forest, classes: DataFrame, queries: DataFrame, n_queries: int, k: int, recall: float) -> int:
-    """The leaves a query has to reach, so that `recall` of the true neighbours of a sample of queries are met."""
+def _true_neighbours(classes: DataFrame, queries: DataFrame, n_queries: int, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(vectors of a sample of the queries, the vectors of each one's true neighbours) by an exhaustive search."""
     spark = classes.sparkSession
-    every = int(forest.base[-1])
     got = sample(queries, "v", PROBE_ROWS, n_queries).toArrow()
     x, own = unit(matrix(got.column("v").combine_chunks())), got.column("key").to_numpy()
-    shared = spark.sparkContext.broadcast((x, own, forest))
+    shared = spark.sparkContext.broadcast((x, own))
 
     def run(batches):
         import pyarrow as pa
 
-        x, own, forest = shared.value
+        x, own = shared.value
         for batch in batches:
             y = unit(matrix(batch.column(2)))
             if not len(y) or not len(x):
@@ -144,28 +146,43 @@ def _leaves_needed(forest: Forest, classes: DataFrame, queries: DataFrame, n_que
             uids, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             s = np.where(own[:, None] == ids[None, :], -np.inf, x @ y.T)
             at = _best(s, ids, k)
-            leaves = forest.place(y)[at.ravel()]
-            q = np.repeat(np.arange(len(x)), at.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(uids[at.ravel()]), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel()), pa.array(leaves.tolist(), pa.list_(pa.int64()))], names=["q", "uid", "id", "score", "leaves"])
+            q, scores, at = np.repeat(np.arange(len(x)), at.shape[1]), np.take_along_axis(s, at, 1).ravel(), at.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(uids[at]), pa.array(ids[at]), pa.array(scores), pa.array(y[at].tolist(), pa.list_(pa.float64()))], names=["q", "uid", "id", "score", "y"])
 
     # PROBE_ROWS times k rows at most reach the driver.
-    true = _merged(arrow_map(classes.select("uid", "id", "v"), run, "q long, uid long, id long, score double, leaves array<long>"), k).select("q", "leaves").collect()
-    if not true:
-        return every
-    margins = [t.margins(x) for t in forest.trees]
-    wanted: dict[int, list[set]] = {}
+    true = _merged(arrow_map(classes.select("uid", "id", "v"), run, "q long, uid long, id long, score double, y array<double>"), k).select("q", "y").collect()
+    mates: list[list] = [[] for _ in range(len(x))]
     for row in true:
-        wanted.setdefault(row["q"], []).append(set(row["leaves"]))
+        mates[row["q"]].append(row["y"])
+    return x, [np.array(m).reshape(len(m), x.shape[1]) for m in mates]
+
+
+def _leaves_needed(forest: Forest, x: np.ndarray, mates: list[np.ndarray], recall: float) -> int:
+    """The leaves a query has to reach, so that `recall` of the true neighbours of a sample of queries are met."""
+    every = int(forest.base[-1])
+    margins = [t.margins(x) for t in forest.trees]
     places = []
-    for q, left in wanted.items():
+    for q, y in enumerate(mates):
+        left = [set(leaves) for leaves in forest.place(y).tolist()] if len(y) else []
         # Each neighbour is met with the first of its leaves; the search ends with the last of them.
-        for n, leaf in enumerate(forest.search([m[q] for m in margins], every)):
-            met = [x for x in left if leaf in x]
+        for n, leaf in enumerate(forest.search([m[q] for m in margins], every if left else 0)):
+            met = [m for m in left if leaf in m]
             places += [n + 1] * len(met)
-            left = [x for x in left if leaf not in x]
+            left = [m for m in left if leaf not in m]
             if not left:
                 break
-    return int(np.ceil(np.quantile(places, recall)))
+    return int(np.ceil(np.quantile(places, recall))) if places else every
+
+
+def _fitted(x: np.ndarray, total: int, trees: int, probes: np.ndarray, mates: list[np.ndarray], recall: float) -> tuple[Forest, int]:
+    """(forest, leaves a query opens): the smallest leaves, by doubling, with which OPENED leaves give the recall."""
+    rows = LEAF_ROWS
+    while True:
+        forest = Forest(x, trees, max(min(LEAST_ROWS, rows), rows * len(x) // total))
+        most = _leaves_needed(forest, probes, mates, recall)
+        if most <= OPENED or forest.base[-1] <= OPENED:
+            return forest, most
+        rows *= 2
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", trees: int = TREES, recall: float = RECALL) -> DataFrame:
@@ -190,8 +207,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
     if not total or not n_queries:
         return empty
     fitted = unit(matrix(sample(classes, "v", FIT_ROWS, total).toArrow().column("v").combine_chunks()))
-    forest = Forest(fitted, trees, max(min(LEAST_ROWS, LEAF_ROWS), LEAF_ROWS * len(fitted) // total))
-    most = _leaves_needed(forest, classes, asked, n_queries, k, recall)
+    forest, most = _fitted(fitted, total, trees, *_true_neighbours(classes, asked, n_queries, k), recall)
     log.info("%d classes, %d leaves, %d opened for a query", total, int(forest.base[-1]), most)
     shared = spark.sparkContext.broadcast(forest)
     kind = classes.schema["v"].dataType.simpleString()
@@ -221,15 +237,39 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
     def meet(batches):
         import pyarrow as pa
 
+        held, size = [], 0
+
+        def best():
+            q, uids, ids, scores = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((uids, q))
+            new = np.ones(len(q), bool)
+            new[1:] = (q[order][1:] != q[order][:-1]) | (uids[order][1:] != uids[order][:-1])
+            # A class met in several trees is kept once; its scores differ by rounding alone.
+            q, uids, ids, scores = (c[order[new]] for c in (q, uids, ids, scores))
+            order = np.lexsort((uids, ids, -scores, q))
+            first = np.flatnonzero(np.concatenate([[True], q[order][1:] != q[order][:-1]]))
+            rank = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+            return [c[order[rank < k + 1]] for c in (q, uids, ids, scores)]
+
+        def told(found):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["q", "uid", "id", "score"])
+
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1), strict=True):
                 q, uids, ids = a.values.field("q").to_numpy(), b.values.field("uid").to_numpy(), b.values.field("id").to_numpy()
                 s = unit(matrix(a.values.field("v"))) @ unit(matrix(b.values.field("v"))).T
                 # One more than asked for: a query's own class may hold nothing but itself.
                 at = _best(s, ids, k + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q, at.shape[1])), pa.array(uids[at.ravel()]), pa.array(ids[at.ravel()]), pa.array(np.take_along_axis(s, at, 1).ravel())], names=["q", "uid", "id", "score"]
-                )
+                held.append((np.repeat(q, at.shape[1]), uids[at.ravel()], ids[at.ravel()], np.take_along_axis(s, at, 1).ravel()))
+                size += at.size
+                if size >= GATHERED:
+                    held = [best()]
+                    size = len(held[0][0])
+                    if 2 * size > GATHERED:
+                        yield told(held[0])
+                        held, size = [], 0
+        if held:
+            yield told(best())
 
     # A class met in several trees comes with one score, but for rounding; the exact one follows below.
     found = arrow_map(meetings, meet, "q long, uid long, id long, score double").groupBy("q", "uid", "id").agg(F.max("score").alias("score"))
