@@ -7,18 +7,26 @@ feed, so a text's ids are those of its words in turn. `encode` keeps the ids of
 from __future__ import annotations
 
 import os
-import re
 import sys
 from array import array
 
 import numpy as np
 
 #: Words that a worker remembers in each of two generations; words that are met again move to the younger one.
-KEPT_WORDS = 50_000
+KEPT_WORDS = 100_000
 #: ASCII punctuation, but for the apostrophe, which may begin a piece of its own ('s, 't, ...).
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Within these characters, composing changes nothing and lower-casing goes by single characters.
-BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
+
+
+def within_latin(text: str) -> bool:
+    """Whether all characters are below U+0100, where composing changes nothing and lower-casing goes by single ones."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 #: Texts that tell a tokenizer apart for which words are not encoded one by one.
 PROBES = ("The quick  Brown fox's can't,\n\tdon't -- (it's) 12,345.67!", "Éléphant naïve straße «œuvre» 北京 слово", "a" * 40 + " ...!? x_y @z #1", " leading and trailing ")
@@ -58,7 +66,7 @@ class Encoder:
             return np.zeros(0, np.uint32)
         if not self.by_words or "<|" in text:  # may hold the strings of special tokens
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if not BEYOND_LATIN.search(text):
+        if within_latin(text):
             text = text.lower()
         pieces = text.replace("\n", " ").replace("\t", " ").split(" ")
         known = self.known
@@ -74,10 +82,10 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """The ids of a run without blanks. Letters, and marks behind them, are cut where the tokenizer cuts too."""
-        if piece.isalpha() and piece.islower() and not BEYOND_LATIN.search(piece):
+        if piece.isalpha() and piece.islower() and within_latin(piece):
             return self._letters(piece)
         stem = piece.rstrip(MARKS)
-        if stem != piece and stem.isalpha() and stem.islower() and not BEYOND_LATIN.search(stem):
+        if stem != piece and stem.isalpha() and stem.islower() and within_latin(stem):
             for part in (stem, piece[len(stem) :]):
                 if part not in self.known:
                     self.known[part] = self.older.get(part) or (self._letters(part) if part is stem else self._whole(part))
