@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op4_mix_sources": mixing.OP4_SQL, "op9_jump_shards": sharding.OP9_SQL}
+    return {"op3_ngram_jaccard": ngram_join.OP3_SQL, "op4_mix_sources": mixing.OP4_SQL, "op9_jump_shards": sharding.OP9_SQL}

@@ -378,3 +378,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
 def op3_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """All documents by sets of 4-word n-grams, linked from a similarity of 0.85 on."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 4, 85)
+
+
+#: The same in SQL: sets of spelled-out n-grams, all pairs that share one, and components by recursion.
+OP3_SQL = r"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) end as s from docs),
+grams as (select doc_id, len(s) as n, unnest(s) as g from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id, a.n, b.n
+  having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges as (select a, b from links union all select b, a from links),
+reach(n, r) as (select doc_id, doc_id from docs union select e.b, reach.r from reach join edges e on e.a = reach.n)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id from sets join (select n, min(r) as component_id from reach group by n) on n = doc_id
+"""
