@@ -16,7 +16,7 @@ from reviewlake.functions import vectors as V
 from reviewlake.operators import clusters as C
 from reviewlake.operators import density, keywords, polarity, preprocess, relevance, report
 from reviewlake.plans import reviews as plans
-from reviewlake.session import checkpointed, table
+from reviewlake.session import checkpointed, spread, table
 from reviewlake.sources import reviews as S
 
 #: The made-up texts of the tables hold function words alone, so these stand in for words of praise and blame.
@@ -104,7 +104,7 @@ NEAR = 0.18
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def _reviews(spark, d) -> DataFrame:

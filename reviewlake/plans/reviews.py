@@ -14,7 +14,7 @@ from reviewlake.functions import vectors as V
 from reviewlake.functions.labels import label_offset, refined_id
 from reviewlake.operators import clusters as C
 from reviewlake.operators import density, keywords, polarity, preprocess, relevance, report
-from reviewlake.session import checkpointed, delete_path, small
+from reviewlake.session import checkpointed, delete_path, small, spread
 from reviewlake.sources import sinks
 from reviewlake.sources.reviews import facet_vectors
 
@@ -70,7 +70,7 @@ def run_reviews(
         caches[name] = f"{cache_dir}/{name}"
         if not resume:
             delete_path(spark, caches[name])
-    base = checkpointed(preprocess.with_review_id(preprocess.preprocess(reviews, order), order))
+    base = checkpointed(preprocess.with_review_id(preprocess.preprocess(spread(reviews), order), order))
     told = embed(polarized(base, settings, model, caches.get("polarity")), settings, embedder=embedder, cache=caches.get("embedding"))
     rows = checkpointed(preprocess.numbered(told.withColumn("_o", F.struct("review_id", "clause_idx")), "_o", "row_idx").drop("_o"))
     sizes = rows.groupBy("polarity").agg(F.count("*").alias("n"))
@@ -154,7 +154,7 @@ def run_reviews(
 def run_posts(posts: DataFrame, settings: Settings, aliases: Sequence[str], terms: Sequence[str], ban_terms: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept sentences as reviews, filter statistics, all scored sentences) of community posts."""
     parts = relevance.summarize_row(F.col("title"), F.col("body"), F.col("summary"), settings.community_summary_max)
-    rows = relevance.flatten_sentences(posts, parts, "post_id")
+    rows = relevance.flatten_sentences(spread(posts), parts, "post_id")
     token, dims = settings.language.token, settings.embedding_dims
     rows = rows.withColumn("_v", V.hash_embed(T.tokens(F.lower("sentence"), token), dims))
     scored = relevance.dual_relevance(rows, "_v", "sentence", aliases, terms, terms, token, dims, settings.alias_query_cap, settings.facet_query_cap).drop("_v")

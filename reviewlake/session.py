@@ -56,6 +56,21 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores if it has less input than they could read at once, else as it is.
+
+    Such a table comes from few files or row groups, which Spark cannot split, so that a few tasks would do all the work on
+    its texts. What is moved is at most spark.sql.files.maxPartitionBytes a core; a larger table has splits enough.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if size < cores * split else df
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete shuffle files that nothing refers to any more, and checkpoints too if
     spark.cleaner.referenceTracking.cleanCheckpoints is set when the session starts; it is off by default."""
