@@ -17,23 +17,29 @@ def dedupe_first(df: DataFrame, by: str, order: str) -> DataFrame:
     return first.select(*[F.col(by) if c == by else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
-def numbered(df: DataFrame, order: str, name: str = "row_no") -> DataFrame:
+def _before(c: str, rows) -> Column:
+    """The sum of c over the rows before each in its window."""
+    return F.coalesce(F.sum(c).over(rows.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
+
+
+def numbered(df: DataFrame, order: str, name: str = "row_no", weight: Column | None = None) -> DataFrame:
     """Gapless numbers from 0 by `order`: ranges are numbered each on its own, and offset by the rows before them.
 
-    The ranges are drawn from a sample, so they are fixed by a checkpoint before they are used twice.
+    With `weight` a row takes so many numbers, of which it gets the first. The ranges are drawn from a sample, so they are
+    fixed by a checkpoint before they are used twice.
     """
-    spread = checkpointed(df.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
-    sizes = spread.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
-    begins = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_b"))
-    inside = F.row_number().over(W.partitionBy("_p").orderBy(order)) - 1
-    return spread.withColumn("_i", inside).join(F.broadcast(begins), "_p").withColumn(name, F.col("_b") + F.col("_i")).drop("_p", "_b", "_i")
+    ranged = checkpointed(df.withColumn("_w", F.lit(1) if weight is None else weight).repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
+    sizes = ranged.groupBy("_p").agg(F.sum("_w").alias("_n"))
+    begins = sizes.select("_p", _before("_n", W.orderBy("_p")).alias("_b"))
+    inside = ranged.withColumn("_i", _before("_w", W.partitionBy("_p").orderBy(order)))
+    return inside.join(F.broadcast(begins), "_p").withColumn(name, F.col("_b") + F.col("_i")).drop("_p", "_b", "_i", "_w")
 
 
 def preprocess(df: DataFrame, order: str, text: str = "review") -> DataFrame:
     """Cleaned text, the first of equal texts, non-empty ones only."""
-    cleaned = df.withColumn(text, T.clean(F.col(text)))
-    return dedupe_first(cleaned, text, order).filter(F.length(text) > 0)
+    cleaned = df.withColumn(text, T.clean(F.col(text))).withColumn("_n", F.length(text))
+    # The length goes through the aggregate: a filter on the text itself would be moved to the scan, and clean it twice.
+    return dedupe_first(cleaned, text, order).filter("_n > 0").drop("_n")
 
 
 def with_review_id(df: DataFrame, order: str, name: str = "review_id") -> DataFrame:

@@ -53,10 +53,14 @@ def summarize_row(title: Column, body: Column, summary: Column, most: int) -> Co
 
 
 def flatten_sentences(posts: DataFrame, parts: Column, order: str) -> DataFrame:
-    """One row a sentence with its post's columns, its position and a serial from 1 over all posts."""
-    flat = posts.select("*", F.posexplode(parts).alias("sent_pos", "sentence"))
-    ordered = numbered(flat.withColumn("_o", F.struct(order, "sent_pos")), "_o", "serial").drop("_o")
-    return ordered.withColumn("serial", F.col("serial") + 1)
+    """One row a sentence with its post's columns, its position and a serial from 1 over all posts.
+
+    Posts are numbered, each taking as many numbers as it has sentences, so that what is written holds a post once and not
+    once a sentence. Columns that are of no use beside a sentence, such as bodies, are best dropped before.
+    """
+    ordered = numbered(posts.withColumn("_parts", parts), order, "_first", F.coalesce(F.size("_parts"), F.lit(0)))
+    flat = ordered.select("*", F.posexplode("_parts").alias("sent_pos", "sentence"))
+    return flat.withColumn("serial", F.col("_first") + F.col("sent_pos") + 1).drop("_parts", "_first")
 
 
 def max_similarity(vector: Column, queries: Sequence[str], token: str, dims: int) -> Column:

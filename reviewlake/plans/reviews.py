@@ -154,7 +154,8 @@ def run_reviews(
 def run_posts(posts: DataFrame, settings: Settings, aliases: Sequence[str], terms: Sequence[str], ban_terms: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept sentences as reviews, filter statistics, all scored sentences) of community posts."""
     parts = relevance.summarize_row(F.col("title"), F.col("body"), F.col("summary"), settings.community_summary_max)
-    rows = relevance.flatten_sentences(spread(posts), parts, "post_id")
+    told = spread(posts).withColumn("_told", parts).drop("title", "body", "summary")
+    rows = relevance.flatten_sentences(told, F.col("_told"), "post_id").drop("_told")
     token, dims = settings.language.token, settings.embedding_dims
     rows = rows.withColumn("_v", V.hash_embed(T.tokens(F.lower("sentence"), token), dims))
     scored = relevance.dual_relevance(rows, "_v", "sentence", aliases, terms, terms, token, dims, settings.alias_query_cap, settings.facet_query_cap).drop("_v")
