@@ -376,3 +376,14 @@ def test_models_are_adapters(spark):
         embed(df.limit(0), "t")
     told = models.classifier("upper", lambda: lambda texts: [("Positive" if "a" in t else "odd", 0.9) for t in texts], batch=1)(df, "t")
     assert [(r.polarity, r.confidence) for r in told.collect()] == [("positive", 0.9), ("neutral", 0.0), ("neutral", 0.0)]
+
+
+def test_sentences_are_numbered_by_posts(spark):
+    from reviewlake.operators.relevance import flatten_sentences
+    from reviewlake.session import spread
+
+    rows = [("b", ["x", "y"]), ("a", ["z"]), ("d", None), ("c", []), ("e", ["u", "v", "w"])]
+    posts = spark.createDataFrame(rows, "id string, own array<string>")
+    got = flatten_sentences(spread(posts), F.col("own"), "id").orderBy("serial").select("id", "sent_pos", "sentence", "serial").collect()
+    assert [tuple(r) for r in got] == [("a", 0, "z", 1), ("b", 0, "x", 2), ("b", 1, "y", 3), ("e", 0, "u", 4), ("e", 1, "v", 5), ("e", 2, "w", 6)]
+    assert flatten_sentences(spread(posts.limit(0)), F.col("own"), "id").count() == 0
