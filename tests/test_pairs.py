@@ -31,3 +31,16 @@ def test_silhouettes_of_several_blocks(spark, monkeypatch):
     # More rows than were allowed before, none of them refused.
     many = spark.range(20_100).selectExpr("id as k", "cast(id % 2 as int) as l", "array(double(id % 2)) as v")
     assert C.silhouette_euclid(many, "k", "l", "v").filter("sil = 1.0").count() == 20_100
+
+
+def test_nth_distances_of_several_blocks(spark, monkeypatch):
+    """The join of all rows with all rows made n * n rows of Spark; now none is made but the lists of the nearest."""
+    monkeypatch.setattr(pairs, "BLOCK", 128)
+    df, _, d = made(spark, 300)
+    out = C.knn_core_distance(df, "k", "v", 5)
+    got = {s.k: s.core for s in out.collect()}
+    assert np.allclose([got[i] for i in range(300)], np.sort(d, axis=1)[:, 5], atol=1e-12) and got[0] == 0 and got[300] is None
+    assert C.knn_core_distance(df.limit(5), "k", "v", 5).count() == 0
+    monkeypatch.undo()
+    many = spark.range(20_000).selectExpr("id as k", "array(double(id)) as v")
+    assert C.knn_core_distance(many, "k", "v", 4).filter("core = 2").count() == 19_996
