@@ -44,3 +44,17 @@ def test_nth_distances_of_several_blocks(spark, monkeypatch):
     monkeypatch.undo()
     many = spark.range(20_000).selectExpr("id as k", "array(double(id)) as v")
     assert C.knn_core_distance(many, "k", "v", 4).filter("core = 2").count() == 19_996
+
+
+def test_reachability_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 128)
+    df, _, d = made(spark, 300)
+    df = df.filter("v is not null")
+    rows = C.mutual_reachability(df, C.knn_core_distance(df, "k", "v", 5), "k", "v").toPandas()
+    core = np.sort(d, axis=1)[:, 5]
+    a, b = rows.a.to_numpy(), rows.b.to_numpy()
+    assert len(rows) == len(set(zip(a, b))) == 300 * 299 // 2 and (a < b).all()
+    assert np.allclose(rows.w, np.maximum(np.maximum(core[a], core[b]), d[a, b]), atol=1e-9)
+    monkeypatch.undo()
+    many = spark.range(4_000).selectExpr("id as k", "array(double(id)) as v", "0d as core")
+    assert C.mutual_reachability(many.drop("core"), many.drop("v"), "k", "v").count() == 4_000 * 3_999 // 2
