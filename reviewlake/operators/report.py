@@ -152,19 +152,18 @@ def cluster_stats(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.count_distinct(F.when(~noise, F.col(label))).alias("n_clusters"), F.count_if(noise).alias("n_noise"), F.count("*").alias("n_samples"))
 
 
-def cluster_quality(df: DataFrame, key: str, label: str, reduced: str, raw: str, rows: int = 20_000) -> DataFrame:
+def cluster_quality(df: DataFrame, key: str, label: str, reduced: str, raw: str) -> DataFrame:
     """One row: silhouette_umap (Euclidean, of reduced vectors), silhouette_raw (cosine), and the counts of clusters, of
     noise and of rows used. Silhouettes are null with fewer than two clusters.
 
-    The Euclidean one compares all pairs, so beyond `rows` rows it takes the rows of the smallest hashes, `rows` at most.
+    Both are of all rows that are not noise; the Euclidean one compares all pairs.
     """
     from reviewlake.operators import clusters as C
 
     counted = df.select(coerce_label(F.col(label)).alias(label), key, reduced, raw)
     used = counted.filter(F.col(label) != -1)
     counts = counted.agg(F.count_distinct(F.when(F.col(label) != -1, F.col(label))).alias("n_clusters"), F.count_if(F.col(label) == -1).alias("n_noise_or_other"), F.count_if(F.col(label) != -1).alias("n_samples_used"))
-    some = used.orderBy(F.md5(F.col(key).cast("string")), key).limit(rows)
-    euclid = C.silhouette_euclid(some, key, label, reduced, rows).agg(F.avg("sil").alias("silhouette_umap"))
+    euclid = C.silhouette_euclid(used, key, label, reduced).agg(F.avg("sil").alias("silhouette_umap"))
     cosine = C.silhouette_cosine(used, key, label, raw).agg(F.avg("sil").alias("silhouette_raw"))
     enough = F.col("n_clusters") >= 2
     both = counts.crossJoin(euclid).crossJoin(cosine)

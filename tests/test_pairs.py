@@ -3,7 +3,7 @@
 import numpy as np
 
 from reviewlake.operators import clusters as C
-from reviewlake.operators import pairs
+from reviewlake.operators import pairs, report
 
 
 def made(spark, n, dims=5, labels=4):
@@ -58,3 +58,19 @@ def test_reachability_of_several_blocks(spark, monkeypatch):
     monkeypatch.undo()
     many = spark.range(4_000).selectExpr("id as k", "array(double(id)) as v", "0d as core")
     assert C.mutual_reachability(many.drop("core"), many.drop("v"), "k", "v").count() == 4_000 * 3_999 // 2
+
+
+def test_quality_takes_every_row(spark):
+    """Rows beyond 20,000 count: a sample would give half of them a place in it and the wrong mean."""
+    n = 20_400
+    df = spark.range(n).selectExpr("id as k", "cast(id % 2 as string) as l", "array(double(id % 2) * 10 + if(id = 7, 9, 0)) as u", "array(double(id % 2), 1 - double(id % 2)) as v")
+    got = report.cluster_quality(df, "k", "l", "u", "v").first()
+    x = np.arange(n) % 2 * 10.0
+    x[7] += 9
+    far = lambda p, own: np.abs(own - p).sum()
+    want = []
+    for i in (0, 1, 7):
+        mine, other = x[i % 2 :: 2], x[1 - i % 2 :: 2]
+        a, b = far(x[i], mine) / (n // 2 - 1), far(x[i], other) / (n // 2)
+        want.append((b - a) / max(a, b))
+    assert abs(got.silhouette_umap - (want[0] * (n // 2) + want[1] * (n // 2 - 1) + want[2]) / n) < 1e-9 and got.n_samples_used == n
