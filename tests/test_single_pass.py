@@ -11,3 +11,8 @@ def plan(df):
 
 def test_polarities_are_told_in_one_pass(spark):
     assert plan(catalogue.polarity_union(spark, TABLES)).count("Relation [") == 1
+
+
+def test_a_vector_is_made_once_for_all_queries(spark):
+    told = plan(catalogue.score_relevance(spark, TABLES))
+    assert told.index("md5") < told.index("array_max")
