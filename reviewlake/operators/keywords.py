@@ -11,21 +11,24 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import text as T
 from reviewlake.functions import vectors as V
+from reviewlake.session import checkpointed
 
 
 def tfidf_keywords(df: DataFrame, cluster: str, doc: str, text: str, pattern: str, stopwords: Sequence[str], top: int = 3, normalize=None) -> DataFrame:
     """(cluster, rank, term, score): raw counts times ln((1 + n) / (1 + df)) + 1, each document of length 1, averaged
     over a cluster's documents, those without a term included. Ties by the later term.
 
-    A row is a document. Its terms are counted within the row, so counting moves nothing; `normalize` may give other tokens
+    A row is a document. Its terms are counted within the row and once: a checkpoint holds the counts, from which document
+    frequencies and weights are taken. `normalize` may give other tokens
     of a text than the pattern's, as a morphological analyser would.
     """
-    docs = df.groupBy(cluster).agg(F.count("*").alias("_docs"))
-    n = df.agg(F.count("*").alias("_n"))
     found = T.tokens(F.lower(text), pattern) if normalize is None else normalize(F.col(text))
     if stopwords:
         found = F.filter(found, lambda t: ~t.isin(*stopwords))
-    tf = df.select(cluster, doc, F.explode(T.counted(found)).alias("_x")).select(cluster, doc, "_x.term", F.col("_x.n").alias("_tf"))
+    terms = checkpointed(df.select(cluster, doc, T.counted(found).alias("_t")))
+    docs = terms.groupBy(cluster).agg(F.count("*").alias("_docs"))
+    n = terms.agg(F.count("*").alias("_n"))
+    tf = terms.select(cluster, doc, F.explode("_t").alias("_x")).select(cluster, doc, "_x.term", F.col("_x.n").alias("_tf"))
     idf = tf.groupBy("term").agg(F.count("*").alias("_df")).crossJoin(F.broadcast(n)).select("term", (F.log((1.0 + F.col("_n")) / (1.0 + F.col("_df"))) + 1).alias("_idf"))
     w = tf.join(idf, "term").withColumn("_w", F.col("_tf") * F.col("_idf"))
     # One exchange by document: its rows are few, as are the terms of a text.
