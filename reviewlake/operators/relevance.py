@@ -67,9 +67,9 @@ def max_similarity(vector: Column, queries: Sequence[str], token: str, dims: int
     """The largest dot product with the queries' vectors; 0 without queries. The list of queries is short by its cap."""
     if not queries:
         return F.lit(0.0)
-    embedded = [V.literal(V.hash_embed_text(q, token, dims)) for q in queries]
+    embedded = [V.hash_embed_text(q, token, dims) for q in queries]
     # An array of one element binds the vector, which would otherwise be worked out again for every query.
-    return F.element_at(F.transform(F.array(vector), lambda v: F.array_max(F.transform(F.array(*embedded), lambda q: V.dot(v, q)))), 1)
+    return F.element_at(F.transform(F.array(vector), lambda v: F.array_max(F.array(*[V.fused_dot(v, q) for q in embedded]))), 1)
 
 
 def dual_relevance(df: DataFrame, vector: str, sentence: str, aliases: Sequence[str], terms: Sequence[str], bonus_terms: Sequence[str], token: str, dims: int, alias_cap: int = 32, facet_cap: int = 64) -> DataFrame:
